@@ -9,7 +9,7 @@ from peerbench.functions.labels import volume_tier
 from peerbench.functions.numbers import flag, ratio, round_stable
 from peerbench.functions.strings import title_case
 from peerbench.operators.ranks import exact_quantiles
-from peerbench.session import materialize
+from peerbench.session import materialize, together
 
 QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 
@@ -24,10 +24,11 @@ def add_ratios(df: DataFrame) -> DataFrame:
 
 def volume_edges(df: DataFrame) -> DataFrame:
     """One row ``q0..q4``: quartile edges of the volume over the whole table."""
-    return exact_quantiles(
+    edges = exact_quantiles(
         df, [], "volume", QUARTILES,
         extras=[F.min("volume").alias("q0"), F.max("volume").alias("q4")],
     )
+    return materialize(edges, "edges")
 
 
 def add_volume_tier(df: DataFrame, edges: DataFrame) -> DataFrame:
@@ -38,10 +39,11 @@ def add_volume_tier(df: DataFrame, edges: DataFrame) -> DataFrame:
 
 def peer_stats(df: DataFrame, value: str = "net") -> DataFrame:
     """Mean, sample standard deviation and 75th percentile of the value per peer group."""
-    return exact_quantiles(
+    stats = exact_quantiles(
         df, ["peer_group"], value, {"peer_p75": 0.75},
         extras=[F.avg(value).alias("peer_mean"), F.stddev_samp(value).alias("peer_sd")],
     )
+    return materialize(stats, "peer-stats")
 
 
 def add_zscore(df: DataFrame, stats: DataFrame, value: str = "net") -> DataFrame:
@@ -80,8 +82,8 @@ def enrich(cleaned: DataFrame, places: DataFrame) -> DataFrame:
     ``cleaned`` is read several times, so pass a stored table. The statistics are small tables written beforehand, so the lines themselves are only read
     and projected: no shuffle of the lines unless the peer groups outgrow a broadcast.
     """
-    edges = materialize(volume_edges(cleaned), "edges")
-    stats = materialize(peer_stats(cleaned), "peer-stats")
+    edges, stats = together(
+        cleaned.sparkSession, lambda: volume_edges(cleaned), lambda: peer_stats(cleaned))
     return (
         cleaned.transform(add_ratios)
         .transform(add_volume_tier, edges)

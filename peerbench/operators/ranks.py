@@ -3,7 +3,8 @@
 ``percentile`` keeps every distinct value of a group in one buffer and a ranking window sorts a
 whole group in one task. Here a mergeable sketch brackets the wanted rank first, one aggregation
 counts what lies below the bracket and the values inside it, and only the inside is ordered. The
-sketch decides how much work is left, never what the answer is.
+sketch decides how much work is left, never what the answer is. Where every group is counted to be
+short, the built-in functions do it in one step.
 """
 
 from __future__ import annotations
@@ -15,11 +16,19 @@ from pyspark.sql import functions as F
 
 from peerbench.session import materialize
 
-SMALL_GROUP = 100_000  # groups up to this many rows are counted without a bracket
 ACCURACY = 10_000  # relative rank error of the sketch is 1 / ACCURACY
 MISSED = "order statistic fell outside its bracket"
 
 
+def _short(accuracy: int) -> int:
+    """Groups of up to this many rows need no bracket (nor would it be sure to hold)."""
+    return 2 * accuracy
+
+
+def _all_short(sketch: DataFrame, accuracy: int) -> bool:
+    return sketch.filter(F.col("_n") > _short(accuracy)).isEmpty()
+
+
 def _sketch(rows, keys, value, fractions, accuracy, extras=()):
     """Row count and a low and high cut around every wanted fraction, per group."""
     margin = 4.0 / accuracy
@@ -36,12 +45,12 @@ def _sketch(rows, keys, value, fractions, accuracy, extras=()):
     )
 
 
-def _bracketed_counts(rows, keys, value, sketch, fractions, small_group):
+def _bracketed_counts(rows, keys, value, sketch, fractions, accuracy):
     """Counts per (group, slot, value) with the values below a bracket folded into one null row.
 
     ``_upto`` is the number of rows of the group up to and including the value.
     """
-    small = F.col("_n") <= small_group
+    small = F.col("_n") <= _short(accuracy)
     slots = F.array(*[
         F.struct(
             F.lit(i).alias("slot"),
@@ -79,7 +88,6 @@ def exact_quantiles(
     value: str,
     fractions: Mapping[str, float],
     extras: Sequence[Column] = (),
-    small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per name in ``fractions``.
@@ -90,8 +98,24 @@ def exact_quantiles(
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
     sketch = _sketch(rows, keys, value, list(fractions.values()), accuracy, extras)
-    counted = _bracketed_counts(rows, keys, value, sketch, list(fractions), small_group)
+    if _all_short(sketch, accuracy):
+        found = rows.groupBy(*keys).agg(*[
+            F.percentile(F.col(value).cast("double"), F.lit(p)).alias(name) for name, p in fractions.items()])
+    else:
+        found = _selected(rows, keys, value, fractions, sketch, accuracy)
+    rest = sketch.drop("_n", "_cuts")
+    if keys:
+        return rest.join(found, keys, "left")
+    names = rest.columns
+    if not names:
+        return found
+    one = rest.select(F.struct(*names)).scalar()
+    return found.select(*[one[n].alias(n) for n in names], *found.columns)
+
 
+def _selected(rows, keys, value, fractions, sketch, accuracy) -> DataFrame:
+    """The quantiles picked from bracketed counts."""
+    counted = _bracketed_counts(rows, keys, value, sketch, list(fractions), accuracy)
     picks = []
     for i, p in enumerate(fractions.values()):
         position = (F.col("_n") - 1) * F.lit(p)
@@ -106,15 +130,7 @@ def exact_quantiles(
             F.coalesce(F.col(f"_{side}{i}"), F.raise_error(F.lit(MISSED)).cast("double")) for side in ("lo", "hi")
         )
         columns.append(F.when(F.col("_m") > 0, low + (high - low) * (position - F.floor(position))).alias(name))
-    found = picked.select(*keys, *columns)
-    rest = sketch.drop("_n", "_cuts")
-    if keys:
-        return rest.join(found, keys, "left")
-    names = [c for c in rest.columns]
-    if not names:
-        return found
-    one = rest.select(F.struct(*names)).scalar()
-    return found.select(*[one[n].alias(n) for n in names], *found.columns)
+    return picked.select(*keys, *columns)
 
 
 def exact_ntile(
@@ -124,7 +140,6 @@ def exact_ntile(
     tie: str,
     tiles: int,
     name: str,
-    small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """``ntile(tiles)`` of every row within its group ordered by ``value`` and then ``tie``.
@@ -136,7 +151,10 @@ def exact_ntile(
     """
     fractions = [j / tiles for j in range(1, tiles)]
     sketch = _sketch(rows, [group], value, fractions, accuracy)
-    counted = _bracketed_counts(rows, [group], value, sketch, fractions, small_group)
+    if _all_short(sketch, accuracy):
+        order = Window.partitionBy(group).orderBy(value, tie)
+        return rows.withColumn(name, F.ntile(tiles).over(order))
+    counted = _bracketed_counts(rows, [group], value, sketch, fractions, accuracy)
 
     tile = F.col("_slot") + 1
     last = tile * F.floor(F.col("_n") / tiles) + F.least(tile, F.col("_n") % tiles) - 1

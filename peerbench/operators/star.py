@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerbench.roles import star_schemas
-from peerbench.session import materialize
+from peerbench.session import materialize, together
 
 
 @dataclass(frozen=True)
@@ -21,11 +21,15 @@ class Star:
     measures: DataFrame
     segments: DataFrame
 
-    @property
-    def merged(self) -> DataFrame:
+    def joined(self) -> DataFrame:
         """Measures with the attributes of their entity."""
         return self.entities.join(self.measures, "entity_id")
 
+    @cached_property
+    def merged(self) -> DataFrame:
+        """The joined rows, stored once: reports over them are scans instead of joins."""
+        return materialize(self.joined(), "merged")
+
     @cached_property
     def rollup(self) -> DataFrame:
         """One stored row per entity with its attributes and the sums of its measures.
@@ -68,8 +72,10 @@ TABLES = ("entities", "items", "measures", "segments")
 
 def write_star(star: Star, path: str) -> str:
     """Replace the four tables below ``path``."""
-    for name in TABLES:
-        getattr(star, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    def job(name: str):
+        return lambda: getattr(star, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    together(star.entities.sparkSession, *[job(name) for name in TABLES])
     return path
 
 

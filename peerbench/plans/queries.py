@@ -72,7 +72,7 @@ def volume_cost(star: Star) -> DataFrame:
 
 def outlier_rows(star: Star) -> DataFrame:
     """Measures flagged as outliers with their entity."""
-    return star.entities.join(star.measures.filter("is_outlier = 1"), "entity_id")
+    return star.merged.filter("is_outlier = 1")
 
 
 def most_extreme(rows: DataFrame, limit: int) -> DataFrame:
@@ -91,15 +91,24 @@ def outliers(star: Star, limit: int = 100) -> DataFrame:
 
 
 def item_spread(star: Star, more_than: int = 10, limit: int = 20) -> DataFrame:
-    """Items with the widest range of net amounts."""
-    rows = star.items.join(star.measures, ["entity_id", "item_code"]).join(star.entities, "entity_id", "left_semi")
+    """Items with the widest range of net amounts.
+
+    Items and measures are counted per (entity, item) before they meet, so that repeated pairs
+    weigh as often as the join would repeat them without being multiplied out.
+    """
+    pair = ["entity_id", "item_code"]
+    items = star.items.groupBy(*pair, "item_desc").agg(F.count(F.lit(1)).alias("times"))
+    measures = star.measures.join(star.entities.select("entity_id"), "entity_id", "left_semi").groupBy(*pair).agg(
+        F.sum("net").alias("sum_net"), F.count("net").alias("n_net"),
+        F.max("net").alias("max_net"), F.min("net").alias("min_net"))
     return named_agg(
-        rows.groupBy("item_desc"),
+        items.join(measures, pair).groupBy("item_desc"),
         entities=F.count_distinct("entity_id"),
-        avg_net=round_stable(F.avg("net"), 2),
-        max_net=round_stable(F.max("net"), 2),
-        min_net=round_stable(F.min("net"), 2),
-        net_spread=round_stable(F.max("net") - F.min("net"), 2),
+        avg_net=round_stable(
+            ratio(F.sum(F.col("sum_net") * F.col("times")), F.sum(F.col("n_net") * F.col("times"))), 2),
+        max_net=round_stable(F.max("max_net"), 2),
+        min_net=round_stable(F.min("min_net"), 2),
+        net_spread=round_stable(F.max("max_net") - F.min("min_net"), 2),
     ).filter(F.col("entities") > more_than).orderBy(F.desc("net_spread"), "item_desc").limit(limit)
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import replace
 from math import factorial
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -21,7 +20,7 @@ from peerbench.functions.numbers import ratio, round_stable
 from peerbench.operators.ranks import exact_quantiles
 from peerbench.operators.sampling import fixed_sample
 from peerbench.operators.star import Star
-from peerbench.session import materialize
+from peerbench.session import materialize, together
 
 FEATURES = ("net_per_unit", "total_volume", "item_diversity", "avg_z", "avg_gross_net_ratio")
 
@@ -61,9 +60,9 @@ def scale(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
         c: F.coalesce(ratio(F.col(c) - one[f"m_{c}"], one[f"s_{c}"]), F.lit(0.0)) for c in columns})
 
 
-def scaled_features(star: Star) -> DataFrame:
+def scaled_features(feats: DataFrame) -> DataFrame:
     """Imputed and scaled features per entity, stored because the training reads them many times."""
-    return materialize(scale(impute_median(materialize(features(star), "features"))), "scaled")
+    return materialize(scale(impute_median(feats)), "scaled")
 
 
 def with_vector(scaled: DataFrame) -> DataFrame:
@@ -71,12 +70,14 @@ def with_vector(scaled: DataFrame) -> DataFrame:
 
 
 def fit_kmeans(vectors: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int) -> list[KMeansModel]:
-    """One model per (k, seed). The runs are independent jobs, so a few are submitted at a time."""
-    def fit(run: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=run[0], seed=run[1], maxIter=max_iter).fit(vectors)
+    """One model per (k, seed), the runs submitted side by side.
 
-    with ThreadPool(min(len(runs), 8)) as pool:
-        return pool.map(inheritable_thread_target(vectors.sparkSession)(fit), runs)
+    A run ends when all centres together move by less than 0.01, on features of unit variance.
+    """
+    def job(k: int, seed: int):
+        return lambda: KMeans(k=k, seed=seed, maxIter=max_iter, tol=0.01 / k**0.5).fit(vectors)
+
+    return together(vectors.sparkSession, *[job(k, seed) for k, seed in runs])
 
 
 def cheapest(models: Iterable[KMeansModel]) -> KMeansModel:
@@ -151,10 +152,14 @@ def name_clusters(means: DataFrame) -> DataFrame:
         .otherwise("Standard Practice").alias("cluster_name"))
 
 
-def label_entities(star: Star, labelled: DataFrame) -> DataFrame:
-    """Unscaled features of every entity with cluster id and name."""
-    ids = labelled.select("entity_id", "cluster_id")
-    raw = features(star).join(ids, "entity_id")
+def with_clusters(feats: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Unscaled features of every labelled entity with its cluster id."""
+    return feats.join(labelled.select("entity_id", "cluster_id"), "entity_id")
+
+
+def label_entities(feats: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Unscaled features of every labelled entity with cluster id and name."""
+    raw = with_clusters(feats, labelled)
     names = materialize(name_clusters(centroids(raw)), "names")
     return raw.join(names, "cluster_id", "left").withColumn("cluster_name", F.coalesce("cluster_name", F.lit("Unknown")))
 
@@ -165,9 +170,9 @@ def cluster_summary(named: DataFrame) -> DataFrame:
         *[round_stable(F.avg(c), 3).alias(c) for c in FEATURES])
 
 
-def tiers(star: Star) -> DataFrame:
+def tiers(feats: DataFrame) -> DataFrame:
     """Performance tier of every entity by its mean z-score."""
-    return features(star).select("entity_id", performance_tier("avg_z").alias("performance_tier"))
+    return feats.select("entity_id", performance_tier("avg_z").alias("performance_tier"))
 
 
 def updated_segments(star: Star, named: DataFrame) -> DataFrame:

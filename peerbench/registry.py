@@ -146,7 +146,7 @@ QUERIES: dict[str, Query] = {
     "outlier_type": lambda w: w.star.measures.select(*KEY, outlier_type("net_z").alias("outlier_type")),
     "performance_tier": lambda w: w.star.segments.select("entity_id", performance_tier("avg_z").alias("performance_tier")),
     # joins
-    "join_entity_measure": lambda w: w.star.merged.select(
+    "join_entity_measure": lambda w: w.star.joined().select(
         *KEY, "peer_group", "place", "total_volume", round_stable("net", 4).alias("net")),
     "join_outlier_segment": lambda w: profiles.outliers_with_segment(w.labelled_star),
     # aggregates
@@ -203,17 +203,17 @@ QUERIES: dict[str, Query] = {
     "eda_variation_top15": lambda w: eda.variation_top(w.star),
     "eda_region_pivot": lambda w: eda.region_pivot(w.star, REGIONS),
     # segmentation
-    "ml_features": lambda w: _rounded(segments.features(w.star), [*segments.FEATURES, "avg_net"], 4),
+    "ml_features": lambda w: _rounded(w.features, [*segments.FEATURES, "avg_net"], 4),
     "ml_impute": lambda w: _rounded(
-        segments.impute_median(segments.features(w.star)).drop("avg_net"), segments.FEATURES, 4),
+        segments.impute_median(w.features).drop("avg_net"), segments.FEATURES, 4),
     "ml_scaled": lambda w: _rounded(w.scaled.drop("avg_net"), segments.FEATURES, 4),
     "ml_k_search": lambda w: w.k_search,
     "ml_silhouette_euclid": lambda w: segments.sampled_silhouette(w.nearest),
     "ml_assign": lambda w: w.clustered.select("entity_id", "cluster_id"),
     "ml_cluster_names": lambda w: segments.name_clusters(
-        segments.centroids(segments.features(w.star).join(w.nearest.select("entity_id", "cluster_id"), "entity_id"))),
-    "ml_cluster_summary": lambda w: segments.cluster_summary(segments.label_entities(w.star, w.nearest)),
-    "ml_tiers": lambda w: segments.tiers(w.star),
+        segments.centroids(segments.with_clusters(w.features, w.nearest))),
+    "ml_cluster_summary": lambda w: segments.cluster_summary(segments.label_entities(w.features, w.nearest)),
+    "ml_tiers": lambda w: segments.tiers(w.features),
     "ml_pca": lambda w: segments.projection(w.clustered),
     "ml_pca_centroids": lambda w: segments.projected_centroids(segments.projection(w.clustered)),
     "ml_importance": lambda w: segments.importance(w.clustered),

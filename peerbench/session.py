@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -50,6 +55,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
+    """Results of independent jobs that are submitted side by side (at most eight at a time)."""
+    run = inheritable_thread_target(spark)(lambda job: job())
+    with ThreadPool(min(len(jobs), 8)) as pool:
+        return pool.map(run, jobs, chunksize=1)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

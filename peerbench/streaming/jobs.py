@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from peerbench.functions.numbers import flag
 from peerbench.operators.features import add_outlier_flag, add_zscore, peer_stats
-from peerbench.session import fresh_path, materialize
+from peerbench.session import fresh_path
 from peerbench.sources.tables import with_event_roles
 
 EVENT_SCHEMA = T.StructType([
@@ -37,7 +37,7 @@ def score(events: DataFrame, stats: DataFrame) -> DataFrame:
 
 def publish_stats(events: DataFrame) -> DataFrame:
     """Peer statistics of a batch of events as a stored table that streams join with."""
-    return materialize(peer_stats(events), "event-stats")
+    return peer_stats(events)
 
 
 def daily_outliers(scored: DataFrame, late: str | None = None) -> DataFrame:

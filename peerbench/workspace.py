@@ -60,10 +60,15 @@ class Workspace:
             return Star(*[materialize(t, "star") for t in (star.entities, star.items, star.measures, star.segments)])
         return read_star(self.spark, write_star(star, fresh_path(self.spark, "star")), T.LongType())
 
+    @cached_property
+    def features(self) -> DataFrame:
+        """Clustering features per entity."""
+        return materialize(segments.features(self.star), "features")
+
     @cached_property
     def scaled(self) -> DataFrame:
         """Imputed and scaled clustering features."""
-        return segments.scaled_features(self.star)
+        return segments.scaled_features(self.features)
 
     @cached_property
     def k_search(self) -> DataFrame:
@@ -83,12 +88,12 @@ class Workspace:
     @cached_property
     def labelled_star(self) -> Star:
         """The star whose segments carry the fixed-centroid clusters."""
-        return segments.with_segments(self.star, segments.label_entities(self.star, self.nearest))
+        return segments.with_segments(self.star, segments.label_entities(self.features, self.nearest))
 
     @cached_property
     def segmented_star(self) -> Star:
         """The star whose segments carry the K-Means clusters."""
-        return segments.with_segments(self.star, segments.label_entities(self.star, self.clustered))
+        return segments.with_segments(self.star, segments.label_entities(self.features, self.clustered))
 
     @cached_property
     def event_stats(self) -> DataFrame:

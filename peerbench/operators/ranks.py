@@ -168,23 +168,20 @@ def exact_ntile(
         "cuts",
     )
     split = cuts.filter(F.col("_skip") + 1 < F.col("_ties"))
-    tied = None if split.isEmpty() else _tie_cuts(rows, group, value, tie, split)
-
-    def wide(frame: DataFrame, column: str, prefix: str) -> DataFrame:
-        return frame.groupBy(group).agg(*[
-            F.max(F.when(F.col("_slot") == j, F.col(column))).alias(f"{prefix}{j}") for j in range(tiles - 1)
-        ])
-
-    placed = rows.join(materialize(wide(cuts, "_cut", "_v"), "cuts"), group, "left")
-    if tied is not None:
-        placed = placed.join(materialize(wide(tied, "_tie", "_t"), "cuts"), group, "left")
-    above = F.lit(1)
+    tied = not split.isEmpty()
+    if tied:
+        cuts = cuts.join(materialize(_tie_cuts(rows, group, value, tie, split), "ties"), [group, "_slot"], "left")
+    wide = cuts.groupBy(group).agg(*[
+        F.max(F.when(F.col("_slot") == j, F.col(column))).alias(f"{column}{j}")
+        for j in range(tiles - 1) for column in (["_cut", "_tie"] if tied else ["_cut"])])
+
+    place = F.lit(1)
     for j in range(tiles - 1):
-        beyond = F.col(value) > F.col(f"_v{j}")
-        if tied is not None:
-            beyond = beyond | ((F.col(value) == F.col(f"_v{j}")) & (F.col(tie) > F.col(f"_t{j}")))
-        above = above + F.coalesce(beyond.cast("int"), F.lit(0))
-    return placed.select(*rows.columns, above.cast("int").alias(name))
+        beyond = F.col(value) > F.col(f"_cut{j}")
+        if tied:
+            beyond = beyond | ((F.col(value) == F.col(f"_cut{j}")) & (F.col(tie) > F.col(f"_tie{j}")))
+        place = place + F.coalesce(beyond.cast("int"), F.lit(0))
+    return rows.join(materialize(wide, "cuts"), group, "left").select(*rows.columns, place.cast("int").alias(name))
 
 
 def _tie_cuts(rows, group, value, tie, split, digits: int = 3):

@@ -37,7 +37,7 @@ def _csv_raw(w: Workspace) -> DataFrame:
     """Lines exported with damage, read back as text and parsed."""
     text = _dirty(w)
     path = write_csv(text, fresh_path(w.spark, "raw-csv"))
-    read = clean.null_tokens(read_raw_csv(w.spark, path, text.schema))
+    read = clean.null_tokens(read_raw_csv(w.spark, path))
     return read.select(*KEY, "peer_group", "place", *[round_stable(to_number(c), 4).alias(c) for c in ("net", "volume")])
 
 

@@ -12,7 +12,6 @@ RAW_COLUMNS = (
     "provider_city", "provider_zip", "hcpcs_code", "hcpcs_description", "total_beneficiaries",
     "total_services", "avg_submitted_charge", "avg_medicare_payment", "avg_beneficiary_age",
 )
-RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
 
 
 @dataclass(frozen=True)

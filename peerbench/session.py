@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
@@ -17,6 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where the split costs the next step one more shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
@@ -47,12 +50,23 @@ def shared_dir(spark: SparkSession) -> str | None:
     return named
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """An unused path below the shared folder."""
+    """An unused path in the shared folder, below a subfolder of this application."""
     root = shared_dir(spark)
     if root is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/peerbench-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:

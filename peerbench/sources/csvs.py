@@ -7,30 +7,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerbench.roles import RAW_SCHEMA
 
-
-def _read(spark, path, schema, encoding):
-    return (
-        spark.read.schema(schema)
-        .option("header", True).option("escape", '"').option("encoding", encoding)
-        .csv(path)
-    )
+def _read(spark, path, encoding):
+    return spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """A headed CSV with every column as text, so that codes keep their leading zeros.
 
+    Columns are found by the names in the header, in whatever order they come.
+
     Bytes that are not UTF-8 decode to U+FFFD instead of failing; if any value holds one, the
     whole file is read as Latin-1. A missing path is an error.
     """
-    utf8 = _read(spark, path, schema, "UTF-8")
+    utf8 = _read(spark, path, "UTF-8")
     damaged = F.lit(False)
     for name in utf8.columns:
         damaged = damaged | F.coalesce(F.contains(F.col(name), F.lit("�")), F.lit(False))
     if utf8.filter(damaged).isEmpty():
         return utf8
-    return _read(spark, path, schema, "ISO-8859-1")
+    return _read(spark, path, "ISO-8859-1")
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -45,7 +41,10 @@ def write_csv(df: DataFrame, path: str) -> str:
 def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A saved result under its pinned schema; an absent one is an empty frame."""
     try:
-        return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+        return (
+            spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
+            .csv(path)
+        )
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

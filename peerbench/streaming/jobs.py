@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from peerbench.functions.numbers import flag
 from peerbench.operators.features import add_outlier_flag, add_zscore, peer_stats
-from peerbench.session import fresh_path
+from peerbench.session import fresh_path, setting
 from peerbench.sources.tables import with_event_roles
 
 EVENT_SCHEMA = T.StructType([
@@ -83,9 +83,11 @@ def run_append(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_updates(stream: DataFrame, key: str, label: str) -> DataFrame:
+def run_updates(stream: DataFrame, key: str, label: str, state_partitions: int = 8) -> DataFrame:
     """Drain a windowed aggregate, open windows included, and return the last state of every key.
 
+    The state is one row per window, so a few partitions hold it however many rows are counted.
+
     Every trigger writes the rows it changed below its own batch number: a batch that is run again
     after a failure replaces its files, and the reader keeps the row of the latest batch.
     """
@@ -96,8 +98,10 @@ def run_updates(stream: DataFrame, key: str, label: str) -> DataFrame:
     def store(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    _drain(stream.writeStream.foreachBatch(store)
-           .option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint")).outputMode("update"))
+    writer = stream.writeStream.foreachBatch(store).outputMode("update").option(
+        "checkpointLocation", fresh_path(spark, f"{label}-checkpoint"))
+    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
+        _drain(writer)
     values = [c for c in stream.columns if c != key]
     return (
         spark.read.schema(schema).parquet(path)

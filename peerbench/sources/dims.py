@@ -4,24 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The states of every region.
-REGION_STATES = {
-    "Northeast": "CT ME MA NH NJ NY PA RI VT",
-    "Southeast": "AL AR DE FL GA KY LA MD MS NC SC TN VA WV",
-    "Midwest": "IL IN IA KS MI MN MO NE ND OH SD WI",
-    "Southwest": "AZ NM OK TX",
-    "West": "AK CA CO HI ID MT NV OR UT WA WY",
+# Region of every state.
+STATE_REGION = {
+    "CT": "Northeast", "ME": "Northeast", "MA": "Northeast", "NH": "Northeast", "NJ": "Northeast",
+    "NY": "Northeast", "PA": "Northeast", "RI": "Northeast", "VT": "Northeast",
+    "AL": "Southeast", "AR": "Southeast", "DE": "Southeast", "FL": "Southeast", "GA": "Southeast",
+    "KY": "Southeast", "LA": "Southeast", "MD": "Southeast", "MS": "Southeast", "NC": "Southeast",
+    "SC": "Southeast", "TN": "Southeast", "VA": "Southeast", "WV": "Southeast",
+    "IL": "Midwest", "IN": "Midwest", "IA": "Midwest", "KS": "Midwest", "MI": "Midwest", "MN": "Midwest",
+    "MO": "Midwest", "NE": "Midwest", "ND": "Midwest", "OH": "Midwest", "SD": "Midwest", "WI": "Midwest",
+    "AZ": "Southwest", "NM": "Southwest", "OK": "Southwest", "TX": "Southwest",
+    "AK": "West", "CA": "West", "CO": "West", "HI": "West", "ID": "West", "MT": "West", "NV": "West",
+    "OR": "West", "UT": "West", "WA": "West", "WY": "West",
 }
 
 # Cost multiplier of every region.
 REGION_MULTIPLIERS = {"Northeast": 1.20, "Southeast": 0.95, "Midwest": 0.90, "Southwest": 1.05, "West": 1.15}
 
-# Population weight of the states, heaviest first.
+# Population weight of every state.
 STATE_WEIGHTS = {
-    10: "CA", 9: "TX", 8: "FL", 7: "NY", 5: "PA IL", 4: "OH GA NC MI NJ",
-    3: "VA WA AZ TN MA IN MO MD WI",
-    2: "CO MN SC AL LA KY OR OK CT UT",
-    1: "IA NV AR MS KS NM NE WV ID HI NH ME RI MT DE SD ND AK VT WY",
+    "CA": 10, "TX": 9, "FL": 8, "NY": 7, "PA": 5, "IL": 5, "OH": 4, "GA": 4, "NC": 4, "MI": 4, "NJ": 4,
+    "VA": 3, "WA": 3, "AZ": 3, "TN": 3, "MA": 3, "IN": 3, "MO": 3, "MD": 3, "WI": 3,
+    "CO": 2, "MN": 2, "SC": 2, "AL": 2, "LA": 2, "KY": 2, "OR": 2, "OK": 2, "CT": 2, "UT": 2,
+    "IA": 1, "NV": 1, "AR": 1, "MS": 1, "KS": 1, "NM": 1, "NE": 1, "WV": 1, "ID": 1, "HI": 1, "NH": 1,
+    "ME": 1, "RI": 1, "MT": 1, "DE": 1, "SD": 1, "ND": 1, "AK": 1, "VT": 1, "WY": 1,
 }
 
 # Mean and standard deviation of the net amount of every peer group.
@@ -44,8 +50,7 @@ CITIES_PER_STATE = 5
 
 def state_regions(spark: SparkSession) -> DataFrame:
     """place, region: the 50 states."""
-    rows = [(state, region) for region, states in REGION_STATES.items() for state in states.split()]
-    return spark.createDataFrame(rows, "place string, region string")
+    return spark.createDataFrame(list(STATE_REGION.items()), "place string, region string")
 
 
 def region_multipliers(spark: SparkSession) -> DataFrame:
@@ -55,7 +60,7 @@ def region_multipliers(spark: SparkSession) -> DataFrame:
 
 def state_weights(spark: SparkSession) -> DataFrame:
     """place, weight."""
-    rows = [(state, float(w)) for w, states in STATE_WEIGHTS.items() for state in states.split()]
+    rows = [(state, float(weight)) for state, weight in STATE_WEIGHTS.items()]
     return spark.createDataFrame(rows, "place string, weight double")
 
 
@@ -76,8 +81,5 @@ def peer_items(spark: SparkSession) -> DataFrame:
 
 def state_cities(spark: SparkSession) -> DataFrame:
     """place, locality: five numbered localities per state."""
-    rows = [
-        (state, f"{state} City {i + 1}")
-        for states in REGION_STATES.values() for state in states.split() for i in range(CITIES_PER_STATE)
-    ]
+    rows = [(state, f"{state} City {i + 1}") for state in STATE_REGION for i in range(CITIES_PER_STATE)]
     return spark.createDataFrame(rows, "place string, locality string")

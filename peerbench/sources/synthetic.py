@@ -38,8 +38,7 @@ def synthesize_for(keys: DataFrame, seed: int = 42) -> DataFrame:
     lognormal noise.
     """
     peers = list(dims.PEER_COSTS)
-    weighted = [s for w, states in dims.STATE_WEIGHTS.items() for s in states.split() for _ in range(w)]
-    region_of = {s: r for r, states in dims.REGION_STATES.items() for s in states.split()}
+    weighted = [state for state, weight in dims.STATE_WEIGHTS.items() for _ in range(weight)]
     at = F.pmod("id", F.lit(len(peers))).cast("int")
     drawn = keys.select(
         "id", at.alias("peer"), _draw(seed, "state", len(weighted)).alias("spot"),
@@ -49,7 +48,7 @@ def synthesize_for(keys: DataFrame, seed: int = 42) -> DataFrame:
     )
     base = F.greatest(F.lit(10.0), _pick([float(m) for m, _ in dims.PEER_COSTS.values()], F.col("peer"))
                       + _pick([float(s) for _, s in dims.PEER_COSTS.values()], F.col("peer")) * _normal(seed, "cost"))
-    multiplier = _pick([dims.REGION_MULTIPLIERS[region_of[s]] for s in weighted], F.col("spot"))
+    multiplier = _pick([dims.REGION_MULTIPLIERS[dims.STATE_REGION[s]] for s in weighted], F.col("spot"))
     net = F.greatest(F.lit(10.0), F.round(base * multiplier * F.exp(0.3 * _normal(seed, "noise")), 2))
     priced = drawn.withColumn("net", net)
     peer = _pick(peers, F.col("peer"))

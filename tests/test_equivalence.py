@@ -66,6 +66,9 @@ def test_samples_are_stable(lines):
     a = fixed_sample(lines.repartition(3), ["entity_id"], 100, 1).select("entity_id")
     b = fixed_sample(lines.repartition(11), ["entity_id"], 100, 1).select("entity_id")
     assert a.count() == 100 and same(a, b)
+    plain = lines.orderBy(F.md5(F.concat_ws("|", F.lit("1"), "entity_id"))).limit(100).select("entity_id")
+    assert same(a, plain)
+    assert fixed_sample(lines.limit(7).checkpoint(), ["entity_id"], 100, 1).count() == 7
     assert not same(a, fixed_sample(lines, ["entity_id"], 100, 2).select("entity_id"))
 
 

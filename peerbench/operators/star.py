@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +43,12 @@ class Star:
             sums += [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
         return materialize(self.entities.join(self.measures.groupBy("entity_id").agg(*sums), "entity_id"), "rollup")
 
+    def with_segments(self, segments: DataFrame) -> Star:
+        """The same star with another segments table; what is stored already is shared."""
+        other = replace(self, segments=segments)
+        vars(other).update(rollup=self.rollup, merged=self.merged)
+        return other
+
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
     schema = star_schemas(df.schema["entity_id"].dataType)[name]

@@ -71,4 +71,4 @@ def segment(star: Star, segments_path: str) -> tuple[DataFrame, Star]:
     updated = segments.updated_segments(star, named)
     updated.write.mode("errorifexists").parquet(segments_path)
     stored = spark.read.schema(updated.schema).parquet(segments_path)
-    return named, Star(star.entities, star.items, star.measures, stored)
+    return named, star.with_segments(stored)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import replace
 from math import factorial
 
 from pyspark import StorageLevel
@@ -187,7 +186,7 @@ def updated_segments(star: Star, named: DataFrame) -> DataFrame:
 
 def with_segments(star: Star, named: DataFrame) -> Star:
     """A star whose segments table is rebuilt at a new place; the old one is left alone."""
-    return replace(star, segments=materialize(updated_segments(star, named), "segments"))
+    return star.with_segments(materialize(updated_segments(star, named), "segments"))
 
 
 def projection(labelled: DataFrame) -> DataFrame:

@@ -89,9 +89,12 @@ def k_search(scaled: DataFrame, ks: Iterable[int] = range(2, 9), inits: int = 3,
     ks = list(ks)
     fitted = fit_kmeans(vectors, [(k, seed) for k in ks for seed in range(42, 42 + inits)], max_iter)
     best = {k: cheapest(fitted[i * inits:(i + 1) * inits]) for i, k in enumerate(ks)}
-    evaluator = ClusteringEvaluator()
-    rows = [
-        (k, float(m.summary.trainingCost), float(evaluator.evaluate(m.transform(vectors)))) for k, m in best.items()]
+
+    def job(model: KMeansModel):
+        return lambda: float(ClusteringEvaluator().evaluate(model.transform(vectors)))
+
+    scores = together(scaled.sparkSession, *[job(model) for model in best.values()])
+    rows = [(k, float(m.summary.trainingCost), score) for (k, m), score in zip(best.items(), scores)]
     vectors.unpersist()
     chosen = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return scaled.sparkSession.createDataFrame(

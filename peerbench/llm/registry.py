@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam
+from peerbench.llm import decontam, linededup, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
+    "op2_line_dedup": linededup.op2_line_dedup,
+    "op5_mixing": mixing.op5_mixing,
 }
 
 SQL: dict[str, str] = {
     "op1_decontamination": decontam.SQL,
+    "op2_line_dedup": linededup.SQL,
+    "op5_mixing": mixing.SQL,
 }

@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam, linededup, mixing
+from peerbench.llm import decontam, language, linededup, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
     "op2_line_dedup": linededup.op2_line_dedup,
+    "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
+    "op7_quality": quality.op7_quality,
 }
 
 SQL: dict[str, str] = {

@@ -83,7 +83,8 @@ def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     bitmap = stored(twice.select(at.alias("at"), bit.alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("set")), "bitmap")
     maybe = seen.withColumn("at", at).withColumn("bit", bit).join(F.broadcast(bitmap), "at").where("set & bit <> 0").select(*seen.columns)
     first = maybe.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "tk", "place")).alias("first"), F.count(F.lit(1)).alias("n"))
-    first = first.where("n > 1").select("h", F.col("chunk").alias("same"), "first")
+    # stored, so that the join reads plain exchanges, which adaptive execution may split
+    first = stored(first.where("n > 1").select("h", F.col("chunk").alias("same"), "first"), "chunks")
     gone = maybe.join(first, "h").where((F.col("chunk") == F.col("same")) & ~F.struct("doc_id", "tk", "place").eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id", "tk").agg(F.collect_set("place").alias("removed"))
 

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam, language, linededup, mixing, quality
+from peerbench.llm import decontam, language, linededup, mixing, ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
     "op2_line_dedup": linededup.op2_line_dedup,
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_quality": quality.op7_quality,
 }
 
@@ -20,4 +21,5 @@ SQL: dict[str, str] = {
     "op1_decontamination": decontam.SQL,
     "op2_line_dedup": linededup.SQL,
     "op5_mixing": mixing.SQL,
+    "op6_ngram_join": ngram_join.SQL,
 }

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam, language, linededup, mixing, ngram_join, quality
+from peerbench.llm import decontam, language, linededup, mixing, ngram_join, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
     "op2_line_dedup": linededup.op2_line_dedup,
+    "op3_substring_dedup": substring.op3_substring_dedup,
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
     "op6_ngram_join": ngram_join.op6_ngram_join,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_decontamination": decontam.SQL,
     "op2_line_dedup": linededup.SQL,
+    "op3_substring_dedup": substring.SQL,
     "op5_mixing": mixing.SQL,
     "op6_ngram_join": ngram_join.SQL,
 }

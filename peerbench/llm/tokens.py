@@ -79,12 +79,6 @@ class Words:
         blob = self.data[base : self.end[hi - 1]].tobytes()
         return [blob[a:b] for a, b in zip(self.start[lo:hi] - base, self.end[lo:hi] - base)]
 
-    def gram_rows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Row number and validity of the gram that starts at each word; grams do not cross rows."""
-        row = np.repeat(np.arange(len(self.counts)), self.counts)
-        at = np.arange(len(row))
-        return row, at + size <= self.first[row + 1]
-
 
 def grams(words: np.ndarray, size: int, lane: int = 0) -> np.ndarray:
     """Hash of the ``size`` words from each position on, for all positions that have so many words."""
@@ -109,13 +103,6 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(best[:count], best[size - width : size - width + count])
 
 
-def padded(values: np.ndarray, length: int) -> np.ndarray:
-    """``values`` lengthened with zeros."""
-    out = np.zeros(length, values.dtype)
-    out[: len(values)] = values
-    return out
-
-
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges with at most ``limit`` bytes of text, one row at least."""
     column = pa.array(column, pa.large_string()) if not isinstance(column, pa.Array) else column.cast(pa.large_string())

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from peerbench.llm.frames import arrow_map, table
+from peerbench.llm.frames import arrow_map, stored, table
 from peerbench.llm.quality import remainder
 from peerbench.llm.tokens import cut, mix, slices
 
@@ -122,12 +122,17 @@ def fit(x: np.ndarray, languages: Sequence[str], steps: int = _STEPS) -> Languag
 def train(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> LanguageModel | None:
     """A model of the non-null ``lang`` values of ``docs``; None if there is none."""
     named = docs.where("lang is not null and text is not null and doc_id is not null")
-    number = named.agg(F.countDistinct("lang")).first()[0]
+    sizes = stored(named.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "languages")
+    number = sizes.count()
     if not number:
         return None
     each = max(1, train_rows // number)
-    order = W.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    chosen = named.select("doc_id", "lang").withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    digest = F.md5(F.col("doc_id").cast("string"))
+    # the digests of twice as many rows as are wanted lie below this share; only those are ranked
+    low = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / 2**32 <= (2 * each + 20) / F.col("rows")
+    order = W.partitionBy("lang").orderBy("digest", "doc_id")
+    few = named.select("doc_id", "lang", digest.alias("digest")).join(sizes, "lang").where(low)
+    chosen = few.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
     chosen = chosen.select("doc_id", "lang").distinct().limit(train_rows)
     picked = named.select("doc_id", "lang", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), ["doc_id", "lang"])  # train_rows rows at most
 

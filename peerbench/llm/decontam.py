@@ -187,7 +187,7 @@ def _schema(docs: DataFrame) -> str:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id",), shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Per document row: ``doc`` (the columns named in ``keep``), n_words, n_hit, n_items, item_ids, spans, contaminated.
+    """Per document row: ``doc`` (the columns named in ``keep``), text, n_words, n_hit, n_items, item_ids, spans, contaminated.
 
     ``spans`` lists the merged hit word ranges as start, end, start, end ...; ``contaminated`` holds where at least
     one word and a twentieth of all words are hit. The columns of ``docs`` stay inside ``doc``, so they can't clash.
@@ -205,7 +205,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc
         out = _search(out, build_shard(part, docs) if rows else Shard([], [], {}))
     hit = F.expr("aggregate(transform(spans, (x, i) -> if(i % 2 = 0, -x, x)), 0L, (total, x) -> total + x)")
     ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
-    out = out.select("doc", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), ids.alias("item_ids"), "spans")
+    out = out.select("doc", "text", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), ids.alias("item_ids"), "spans")
     return out.withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam, embeddings, language, linededup, mixing, ngram_join, quality, substring, urls
+from peerbench.llm import decontam, embeddings, language, linededup, mixing, ngram_join, quality, substring, surrogates, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_quality": quality.op7_quality,
     "op8_url_filter": urls.op8_url_filter,
+    "op9_surrogates": surrogates.op9_surrogates,
     "op10_embedding_dedup": embeddings.op10_embedding_dedup,
 }
 

@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from peerbench.llm.frames import arrow_map, stored, table
+from peerbench.llm.frames import arrow_map, stored, table, with_doc
 from peerbench.llm.tokens import ALNUM, Words, cut, grams, slices
 
 WINDOW = 13
@@ -182,8 +183,8 @@ def _search(docs: DataFrame, shard: Shard) -> DataFrame:
     return arrow_map(docs, run, _schema(docs))
 
 
-def _schema(docs: DataFrame) -> str:
-    return f"doc {docs.schema['doc'].dataType.simpleString()}, text string, n_words long, spans array<long>, items array<long>"
+def _schema(docs: DataFrame) -> T.StructType:
+    return with_doc(docs, "text string, n_words long, spans array<long>, items array<long>")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, keep: Sequence[str] = ("doc_id",), shard_rows: int = SHARD_ROWS) -> DataFrame:

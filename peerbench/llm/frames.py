@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerbench.session import materialize
 
@@ -22,7 +23,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
-def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def with_doc(rows: DataFrame, others: str) -> T.StructType:
+    """The column ``doc`` of ``rows``, whose field names may be anything, and ``others`` as DDL."""
+    return T.StructType([rows.schema["doc"], *T.StructType.fromDDL(others).fields])
+
+
+def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

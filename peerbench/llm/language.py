@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from peerbench.llm.frames import arrow_map, stored, table
+from peerbench.llm.frames import arrow_map, stored, table, with_doc
 from peerbench.llm.quality import remainder
 from peerbench.llm.tokens import cut, mix, slices
 
@@ -167,7 +167,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, keep: Sequence[str] =
         )
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col("text").cast("string").alias("text"))
-    return arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, lang_pred string, score double, ambiguous boolean")
+    return arrow_map(rows, run, with_doc(rows, "lang_pred string, score double, ambiguous boolean"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.llm.frames import arrow_map, table
+from peerbench.llm.frames import arrow_map, table, with_doc
 from peerbench.llm.tokens import SOLID, cut, slices
 
 PASSAGE = 64
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: AttentionModel, keep: Sequence[str] = ("doc_id
         yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out)], ["doc", "score"])
 
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col("text").cast("string").alias("text"))
-    scored = arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, score double")
+    scored = arrow_map(rows, run, with_doc(rows, "score double"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerbench.llm.frames import Bits, arrow_map, stored, table
+from peerbench.llm.frames import Bits, arrow_map, stored, table, with_doc
 from peerbench.llm.tokens import SOLID, Words, cut, grams, slices, sliding_min
 
 WINDOW = 13
@@ -126,7 +126,7 @@ def remove_repeats(docs: DataFrame, keep: Sequence[str] = ("doc_id",), size: int
             [batch.column("doc"), pa.array(total), pa.array(removed), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "n_words", "n_removed", "text"]
         )
 
-    return arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, n_words long, n_removed long, text string")
+    return arrow_map(rows, run, with_doc(rows, "n_words long, n_removed long, text string"))
 
 
 class SuffixAutomaton:
@@ -209,7 +209,7 @@ def remove_reference(docs: DataFrame, reference: DataFrame, keep: Sequence[str]
             [batch.column("doc"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc", "n_words", "n_removed", "text"]
         )
 
-    return arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, n_words long, n_removed long, text string")
+    return arrow_map(rows, run, with_doc(rows, "n_words long, n_removed long, text string"))
 
 
 def _stream(rows: DataFrame, shard: DataFrame, size: int) -> DataFrame:
@@ -227,7 +227,7 @@ def _stream(rows: DataFrame, shard: DataFrame, size: int) -> DataFrame:
             hits.append(sorted(set(old).union(at - size + 1 for at, length in enumerate(automaton.matches(words)) if length >= size)))
         yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("text"), pa.array(hits, pa.list_(pa.int64()))], ["doc", "text", "hit"])
 
-    return arrow_map(rows, run, f"doc {rows.schema['doc'].dataType.simpleString()}, text string, hit array<long>")
+    return arrow_map(rows, run, with_doc(rows, "text string, hit array<long>"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

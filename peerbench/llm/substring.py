@@ -7,7 +7,7 @@ corpus takes work that grows with its square (figures in the README), so the win
 1. A window holds nine five-word grams; equal windows have the same smallest gram hash. The smallest hashes of each
    document are counted over the corpus, about a fifth as many rows as words. A window whose smallest gram stands
    in one document only is unique. The others are told from a bitmap of fixed size, which lets no repeated one slip.
-2. The remaining windows, as 128-bit hashes, are reduced to their smallest doc_id, combined before the shuffle, so
+2. The remaining windows, as 96-bit hashes, are reduced to their smallest doc_id, combined before the shuffle, so
    that a passage in a third of all documents is a few rows a task.
 3. Each document gets the windows of which it is the smallest owner and removes its other remaining windows.
 
@@ -85,9 +85,9 @@ def _candidates(docs: DataFrame, size: int, seen: Bits) -> DataFrame:
             good = seen.have(least)
             at, row = at[good], row[good]
             one, two = grams(hashes, size)[at], grams(hashes, size, lane=1)[at]
-            yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(ids[lo:hi][row])], ["w1", "w2", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[lo:hi][row])], ["w1", "w2", "doc_id"])
 
-    return arrow_map(_texts(docs), run, "w1 long, w2 long, doc_id long")
+    return arrow_map(_texts(docs), run, "w1 long, w2 int, doc_id long")
 
 
 def remove_repeats(docs: DataFrame, keep: Sequence[str] = ("doc_id",), size: int = WINDOW) -> DataFrame:

@@ -3,9 +3,9 @@
 Tokens (hashed shingles) are dealt into parts by their leading bits, and each part is the XOR of its tokens, so a
 token in only one of two sets changes one part. Sizes fall into bands; in band b two sets that reach the
 similarity differ in at most d(b) tokens, so of d(b) + 1 + e parts at least 1 + e agree (pigeonhole). Sets meet
-where a part agrees. Empty parts say nothing and are left out, unless a set has more than e of them. A 1,024-bit
-parity sketch, whose Hamming distance is at most the symmetric difference, rejects most false candidates, and the
-rest are verified on the whole texts.
+where a part agrees. Parts of fewer than two tokens say little and are left out, unless a set has more than e of
+them. Parity sketches, whose Hamming distance is at most the symmetric difference, reject most false candidates (one
+of 1,024 bits within the join, then one of eight bits or more per token); the rest are verified on the whole texts.
 
 No group is paired with itself. In the first round each document meets only the smallest id of each part value
 (a minimum and a join), and one of those that pass the sketch is verified. Documents that are then in one component
@@ -49,7 +49,7 @@ class Likeness:
 
 @lru_cache(maxsize=4)
 def _bands(percent: int, limit: int = 1 << 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First size of every band, its number of parts and how many empty parts it makes up for.
+    """First size of every band, its number of parts and how many parts of fewer than two tokens it makes up for.
 
     A set of band b can only reach the similarity with a larger one in band b or b + 1.
     """
@@ -58,7 +58,7 @@ def _bands(percent: int, limit: int = 1 << 40) -> tuple[np.ndarray, np.ndarray,
         first.append(max(first[-1] + 1, (first[-1] - 1) * 100 // percent + 1))
     most = np.array(first[1:], dtype=object) - 1
     differ = [(100 - percent) * (n + n * 100 // percent) // (100 + percent) for n in most]
-    spare = [2 + (d + 50) // 50 for d in differ]
+    spare = [3 + (d + 1) * 15 // 100 for d in differ]
     return np.array(first[:-1], np.int64), np.array([d + 1 + s for d, s in zip(differ, spare)], np.int64), np.array(spare, np.int64)
 
 
@@ -84,7 +84,10 @@ def part_values(tokens: np.ndarray, percent: int) -> np.ndarray:
         part = ((tokens >> np.uint64(32)) * np.uint64(parts[band])) >> np.uint64(32)
         start = np.flatnonzero(np.diff(part, prepend=~part[:1]))
         label, value = part[start], np.bitwise_xor.reduceat(tokens, start)
-        if parts[band] - len(start) > spare[band]:
+        full = np.diff(start, append=len(tokens)) > 1
+        if parts[band] - full.sum() <= spare[band]:
+            label, value = label[full], value[full]
+        else:
             empty = np.setdiff1d(np.arange(parts[band], dtype=np.uint64), label, assume_unique=True)
             label, value = np.append(label, empty), np.append(value, np.zeros(len(empty), np.uint64))
         out.append(mix(value ^ mix(label + np.uint64(band << 40) + np.uint64(1))))
@@ -92,26 +95,35 @@ def part_values(tokens: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, like: Likeness) -> DataFrame:
-    """(doc_id, tk, n_shingles, f1, f2, sketch) per row: size, two fingerprints of the set and its parity sketch."""
+    """(doc_id, tk, n_shingles, f1, f2, sketch, wide) per row: size, two fingerprints of the set and its parity sketches."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        text, size, prints, sketches = batch.column("text"), [], [], []
+        text, size, prints, sketches, wide = batch.column("text"), [], [], [], []
         for lo, hi in slices(text):
             for tokens in shingle_sets(text.slice(lo, hi - lo), like.words):
                 size.append(len(tokens))
                 prints.append((tokens.sum(dtype=np.uint64), mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)))
-                odd = np.bincount((tokens & np.uint64(_SKETCH_BITS - 1)).astype(np.int64), minlength=_SKETCH_BITS) & 1
-                sketches.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                sketches.append(parity(tokens, _SKETCH_BITS))
+                wide.append(parity(tokens, max(64, 8 << len(tokens).bit_length())))
         two = mix(np.array(prints, np.uint64).reshape(-1, 2)).view(np.int64)
-        flat = np.concatenate(sketches) if sketches else np.zeros(0, np.int64)
-        sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(sketches) + 1, dtype=np.int32) * (_SKETCH_BITS // 64)), pa.array(flat))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("tk"), pa.array(size, pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), sketch],
-            ["doc_id", "tk", "n_shingles", "f1", "f2", "sketch"],
+            [batch.column("doc_id"), batch.column("tk"), pa.array(size, pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1]), _lists(sketches), _lists(wide)],
+            ["doc_id", "tk", "n_shingles", "f1", "f2", "sketch", "wide"],
         )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key().alias("tk"))
-    return arrow_map(rows, run, "doc_id long, tk long, n_shingles long, f1 long, f2 long, sketch array<long>")
+    return arrow_map(rows, run, "doc_id long, tk long, n_shingles long, f1 long, f2 long, sketch array<long>, wide array<long>")
+
+
+def parity(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """The parity of the number of tokens per slot, ``bits`` slots, a power of two, packed into 64-bit words."""
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
 def _parts(docs: DataFrame, like: Likeness, seen: Bits | None = None) -> DataFrame:
@@ -135,8 +147,23 @@ def _parts(docs: DataFrame, like: Likeness, seen: Bits | None = None) -> DataFra
 def _near(percent: int) -> Column:
     """Whether sizes and sketches of the sides x and y allow the similarity."""
     sizes = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-    apart = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, one: total + one)
-    return sizes & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
+    return sizes & (_apart(F.col("x.sketch"), F.col("y.sketch")) * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
+
+
+def _apart(x: Column, y: Column) -> Column:
+    """Hamming distance of two sketches of one width."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, one: total + one)
+
+
+def _near_wide(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide sketches allow the similarity; of two widths the larger one is folded to the smaller."""
+    x, y = (nodes.select(F.col("doc_id").alias(k), F.col("n").alias(f"{k}_n"), F.col("wide").alias(f"{k}_wide")) for k in ("a", "b"))
+    met = pairs.join(x, "a").join(y, "b")
+    half = lambda own: (F.size(own) / 2).cast("int")
+    fold = lambda own: F.zip_with(F.slice(own, F.lit(1), half(own)), F.slice(own, half(own) + 1, half(own)), lambda p, q: p.bitwiseXOR(q))
+    a, b = F.col("a_wide"), F.col("b_wide")
+    apart = F.when(F.size(a) == F.size(b), _apart(a, b)).when(F.size(a) == 2 * F.size(b), _apart(fold(a), b)).when(F.size(b) == 2 * F.size(a), _apart(a, fold(b))).otherwise(0)
+    return met.where(apart * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)).select(*pairs.columns)
 
 
 def verified(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
@@ -172,23 +199,26 @@ def _one_by_one(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
         yield from shingle_sets(texts.slice(lo, hi - lo), words)
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """Links among candidate pairs: equal fingerprints at once, the others by their texts."""
+def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
+    """Links among candidate pairs: equal fingerprints at once, the others by their wide sketches and texts."""
     pairs = stored(pairs, "pairs")
-    checked = verified(pairs.where("not equal").select("a", "a_tk", "b", "b_tk"), docs, like)
+    doubtful = stored(_near_wide(pairs.where("not equal").select("a", "a_tk", "b", "b_tk"), nodes, like.percent), "doubtful")
+    checked = verified(doubtful, docs, like)
     return stored(pairs.where("equal").select("a", "b").union(checked), "links")
 
 
 def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
     """The stored rows of :func:`sets_of`, and (node, component) of the documents that have links."""
     rows = stored(sets_of(docs, like), "sets")
-    one = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("tk", "n_shingles", "f1", "f2", "sketch")).alias("s"))
-    nodes = stored(one.select("doc_id", "s.tk", F.col("s.n_shingles").alias("n"), "s.f1", "s.f2", "s.sketch"), "nodes")
+    one = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("tk", "n_shingles", "f1", "f2", "sketch", "wide")).alias("s"))
+    nodes = stored(one.select("doc_id", "s.tk", F.col("s.n_shingles").alias("n"), "s.f1", "s.f2", "s.sketch", "s.wide"), "nodes")
 
-    counted = _parts(docs, like).groupBy("part").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
-    shared = stored(counted.where("leader < last").select("part", "leader"), "parts")
-    seen = Bits(shared, "part", _FILTER_BITS)
-    members = stored(_parts(docs, like, seen).join(shared, "part"), "members")
+    # part values alone are counted first; only those that occur twice are met again with their documents
+    counted = _parts(docs, like).select("part").groupBy("part").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    seen = Bits(counted, "part", _FILTER_BITS)
+    members = stored(_parts(docs, like, seen), "rows")
+    leaders = members.groupBy("part").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
+    members = stored(members.join(stored(leaders.where("leader < last").select("part", "leader"), "parts"), "part"), "members")
 
     side = lambda name, key: nodes.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{name}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", "sketch").alias(name))
     equal = ((F.col("x_f1") == F.col("y_f1")) & (F.col("x_f2") == F.col("y_f2")) & (F.col("x.n") == F.col("y.n"))).alias("equal")
@@ -197,7 +227,7 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     met = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     met = met.join(side("x", "a"), "a").join(side("y", "b"), "b").where(_near(like.percent)).select(*pair)
     nearest = met.groupBy("b").agg(F.min(F.struct("a", "a_tk", "b_tk", "equal")).alias("p"))
-    links = _confirm(nearest.select("p.a", "p.a_tk", "b", "p.b_tk", "p.equal"), docs, like)
+    links = _confirm(nearest.select("p.a", "p.a_tk", "b", "p.b_tk", "p.equal"), nodes, docs, like)
 
     first = stored(components(links), "first")
     placed = members.select("part", "doc_id").join(first, F.col("doc_id") == F.col("node"), "left").select("part", "doc_id", F.coalesce("component", "doc_id").alias("component"))
@@ -206,7 +236,7 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     open_rows = stored(placed.join(mixed, "part").join(nodes, "doc_id").select("part", "doc_id", "component", "tk", "f1", "f2", "n", "sketch"), "open")
     x, y = (open_rows.select("part", F.col("doc_id").alias(key), F.col("component").alias(f"{s}_component"), *[F.col(c).alias(f"{s}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", "sketch").alias(s)) for s, key in (("x", "a"), ("y", "b")))
     rest = x.join(y, (x["part"] == y["part"]) & (F.col("x_component") < F.col("y_component")) & _near(like.percent)).select(*pair).distinct()
-    links = links.union(_confirm(rest, docs, like))
+    links = links.union(_confirm(rest, nodes, docs, like))
     return rows, components(links)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peerbench.functions.labels import volume_tier
@@ -52,6 +52,13 @@ def add_zscore(df: DataFrame, stats: DataFrame, value: str = "net") -> DataFrame
     return df.join(stats, "peer_group", "left").withColumn("net_z", round_stable(z, 4))
 
 
+def add_zscore_window(df: DataFrame, value: str = "net") -> DataFrame:
+    """The same score by a window over the peer group, for groups that one task can sort."""
+    peers = Window.partitionBy("peer_group")
+    z = ratio(F.col(value) - F.avg(value).over(peers), F.stddev_samp(value).over(peers))
+    return df.withColumn("net_z", round_stable(z, 4))
+
+
 def add_high_cost(df: DataFrame) -> DataFrame:
     return df.withColumn("is_high_cost", flag(F.col("net") > F.col("peer_p75")))
 

@@ -46,9 +46,11 @@ def ratio_checks(star: Star) -> DataFrame:
         round_stable(F.avg((F.col("gross_net_ratio") < 0.99).cast("int")), 6).alias("low_ratio_share"))
 
 
-def quality_report(scored: DataFrame, places_expected: int = 1, peers_expected: int = 1) -> DataFrame:
+def quality_report(scored: DataFrame, places_expected: int, peers_expected: int) -> DataFrame:
     """check, observed, threshold, severity, passed: reported, never blocking.
 
+    The expected numbers of places and peer groups come from the dimensions the caller knows.
+
     Grouped counts come from one pass per (entity, item), whose result is small per task.
     """
     pairs = scored.groupBy("entity_id", "item_code").agg(

@@ -2,9 +2,9 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer and a ranking window sorts a
 whole group in one task. Here a mergeable sketch brackets the wanted rank first, one aggregation
-counts what lies below the bracket and the values inside it, and only the inside is ordered. The
-sketch decides how much work is left, never what the answer is. Where every group is counted to be
-short, the built-in functions do it in one step.
+counts what lies below the bracket and the values inside it, and only the inside is ordered, in
+ranges of equal width. The sketch decides how much work is left, never what the answer is. A group
+of few rows is inside its bracket as a whole; otherwise groups of every size take the same path.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from peerbench.session import materialize
 
 ACCURACY = 10_000  # relative rank error of the sketch is 1 / ACCURACY
+PARTS = 1_024  # ranges that the inside of a bracket is ordered in
 MISSED = "order statistic fell outside its bracket"
 
 
@@ -25,10 +26,6 @@ def _short(accuracy: int) -> int:
     return 2 * accuracy
 
 
-def _all_short(sketch: DataFrame, accuracy: int) -> bool:
-    return sketch.filter(F.col("_n") > _short(accuracy)).isEmpty()
-
-
 def _sketch(rows, keys, value, fractions, accuracy, extras=()):
     """Row count and a low and high cut around every wanted fraction, per group."""
     margin = 4.0 / accuracy
@@ -45,10 +42,20 @@ def _sketch(rows, keys, value, fractions, accuracy, extras=()):
     )
 
 
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``; null keys meet."""
+    other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
+    return left.join(other, condition, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _bracketed_counts(rows, keys, value, sketch, fractions, accuracy):
     """Counts per (group, slot, value) with the values below a bracket folded into one null row.
 
-    ``_upto`` is the number of rows of the group up to and including the value.
+    ``_upto`` is the number of rows of the group up to and including the value. It is summed within
+    ranges of equal width first, so that no task orders the whole bracket of a large group.
     """
     small = F.col("_n") <= _short(accuracy)
     slots = F.array(*[
@@ -62,19 +69,28 @@ def _bracketed_counts(rows, keys, value, sketch, fractions, accuracy):
     bounds = sketch.select(*keys, "_n", slots.alias("_slots"))
     values = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
     if keys:
-        probed = values.join(bounds, list(keys))
+        probed = _join(values, bounds, keys)
     else:
         one = bounds.select(F.struct("_n", "_slots")).scalar()
         probed = values.select("_v", one["_n"].alias("_n"), one["_slots"].alias("_slots"))
-    return (
+    inside = F.col("_s.low").isNull() | (F.col("_v") >= F.col("_s.low"))
+    share = (F.col("_v") - F.col("_s.low")) / F.nullif(F.col("_s.high") - F.col("_s.low"), F.lit(0.0))
+    part = F.when(inside, F.coalesce(F.least(F.floor(share * PARTS), F.lit(PARTS - 1)), F.lit(0))).otherwise(-1)
+    counted = (
         probed.select(*keys, "_n", "_v", F.explode("_slots").alias("_s"))
         .filter("_s.high is null or _v <= _s.high")
-        .select(*keys, "_n", F.col("_s.slot").alias("_slot"),
-                F.when(F.col("_s.low").isNull() | (F.col("_v") >= F.col("_s.low")), F.col("_v")).alias("_x"))
-        .groupBy(*keys, "_n", "_slot", "_x").agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_upto", F.sum("_c").over(
-            Window.partitionBy(*keys, "_slot").orderBy(F.col("_x").asc_nulls_first())))
+        .select(*keys, "_n", F.col("_s.slot").alias("_slot"), part.cast("int").alias("_part"), F.when(inside, F.col("_v")).alias("_x"))
+        .groupBy(*keys, "_n", "_slot", "_part", "_x").agg(F.count(F.lit(1)).alias("_c"))
     )
+    within = Window.partitionBy(*keys, "_slot", "_part").orderBy(F.col("_x").asc_nulls_first())
+    counted = counted.withColumn("_upto", F.sum("_c").over(within))
+    earlier = Window.partitionBy(*keys, "_slot").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        counted.groupBy(*keys, "_slot", "_part").agg(F.sum("_c").alias("_rows"))
+        .select(*keys, "_slot", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    )
+    placed = _join(counted, parts, [*keys, "_slot", "_part"])
+    return placed.withColumn("_upto", F.col("_upto") + F.col("_before")).drop("_before", "_part")
 
 
 def _holds(rank: Column) -> Column:
@@ -98,11 +114,7 @@ def exact_quantiles(
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
     sketch = _sketch(rows, keys, value, list(fractions.values()), accuracy, extras)
-    if _all_short(sketch, accuracy):
-        found = rows.groupBy(*keys).agg(*[
-            F.percentile(F.col(value).cast("double"), F.lit(p)).alias(name) for name, p in fractions.items()])
-    else:
-        found = _selected(rows, keys, value, fractions, sketch, accuracy)
+    found = _selected(rows, keys, value, fractions, sketch, accuracy)
     rest = sketch.drop("_n", "_cuts")
     if keys:
         return rest.join(found, keys, "left")
@@ -147,13 +159,10 @@ def exact_ntile(
     Only the ``tiles - 1`` cut rows of each group are looked for; every row is then placed by
     comparing it with them. ``tie`` is an evenly spread text, unique within the group, such as an
     md5: a value shared by many rows is narrowed down by the first digits of it. Values must not
-    be null.
+    be null; null groups are a group.
     """
     fractions = [j / tiles for j in range(1, tiles)]
     sketch = _sketch(rows, [group], value, fractions, accuracy)
-    if _all_short(sketch, accuracy):
-        order = Window.partitionBy(group).orderBy(value, tie)
-        return rows.withColumn(name, F.ntile(tiles).over(order))
     counted = _bracketed_counts(rows, [group], value, sketch, fractions, accuracy)
 
     tile = F.col("_slot") + 1
@@ -170,7 +179,7 @@ def exact_ntile(
     split = cuts.filter(F.col("_skip") + 1 < F.col("_ties"))
     tied = not split.isEmpty()
     if tied:
-        cuts = cuts.join(materialize(_tie_cuts(rows, group, value, tie, split), "ties"), [group, "_slot"], "left")
+        cuts = _join(cuts, materialize(_tie_cuts(rows, group, value, tie, split), "ties"), [group, "_slot"], "left")
     wide = cuts.groupBy(group).agg(*[
         F.max(F.when(F.col("_slot") == j, F.col(column))).alias(f"{column}{j}")
         for j in range(tiles - 1) for column in (["_cut", "_tie"] if tied else ["_cut"])])
@@ -181,14 +190,13 @@ def exact_ntile(
         if tied:
             beyond = beyond | ((F.col(value) == F.col(f"_cut{j}")) & (F.col(tie) > F.col(f"_tie{j}")))
         place = place + F.coalesce(beyond.cast("int"), F.lit(0))
-    return rows.join(materialize(wide, "cuts"), group, "left").select(*rows.columns, place.cast("int").alias(name))
+    return _join(rows, materialize(wide, "cuts"), [group], "left").select(*rows.columns, place.cast("int").alias(name))
 
 
 def _tie_cuts(rows, group, value, tie, split, digits: int = 3):
     """The cut inside a run of equal values: count by leading digits, then order one short range."""
     ties = (
-        rows.select(group, F.col(value).cast("double").alias("_cut"), F.col(tie).alias("_tie"))
-        .join(split, [group, "_cut"])
+        _join(rows.select(group, F.col(value).cast("double").alias("_cut"), F.col(tie).alias("_tie")), split, [group, "_cut"])
         .withColumn("_head", F.substring("_tie", 1, digits))
     )
     heads = (
@@ -199,7 +207,7 @@ def _tie_cuts(rows, group, value, tie, split, digits: int = 3):
     )
     order = Window.partitionBy(group, "_slot").orderBy("_tie")
     return (
-        ties.join(materialize(heads, "heads"), [group, "_slot", "_head"])
+        _join(ties.drop("_skip", "_ties"), materialize(heads, "heads"), [group, "_slot", "_head"])
         .withColumn("_at", F.row_number().over(order))
         .filter(F.col("_at") == F.col("_left") + 1)
         .select(group, "_slot", "_tie")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-from functools import cached_property
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +21,23 @@ class Star:
     items: DataFrame
     measures: DataFrame
     segments: DataFrame
+    shared: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def joined(self) -> DataFrame:
         """Measures with the attributes of their entity."""
         return self.entities.join(self.measures, "entity_id")
 
-    @cached_property
+    @property
     def merged(self) -> DataFrame:
         """The joined rows, stored once: reports over them are scans instead of joins."""
-        return materialize(self.joined(), "merged")
+        return self._once("merged", self.joined)
 
-    @cached_property
+    def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.shared:
+            self.shared[name] = materialize(build(), name)
+        return self.shared[name]
+
+    @property
     def rollup(self) -> DataFrame:
         """One stored row per entity with its attributes and the sums of its measures.
 
@@ -41,13 +48,12 @@ class Star:
                 F.max("net").alias("max_net"), F.min("net").alias("min_net")]
         for name in ("net", "net_z", "net_per_unit", "gross_net_ratio"):
             sums += [F.sum(name).alias(f"sum_{name}"), F.count(name).alias(f"n_{name}")]
-        return materialize(self.entities.join(self.measures.groupBy("entity_id").agg(*sums), "entity_id"), "rollup")
+        return self._once(
+            "rollup", lambda: self.entities.join(self.measures.groupBy("entity_id").agg(*sums), "entity_id"))
 
     def with_segments(self, segments: DataFrame) -> Star:
-        """The same star with another segments table; what is stored already is shared."""
-        other = replace(self, segments=segments)
-        vars(other).update(rollup=self.rollup, merged=self.merged)
-        return other
+        """The same star with another segments table; stored tables are shared, whichever is used first."""
+        return replace(self, segments=segments)
 
 
 def _conform(df: DataFrame, name: str) -> DataFrame:
@@ -89,3 +95,20 @@ def read_star(spark: SparkSession, path: str, id_type=None) -> Star:
     """Read the four tables under their pinned schemas."""
     schemas = star_schemas(id_type) if id_type else star_schemas()
     return Star(*[spark.read.schema(schemas[name]).parquet(f"{path}/{name}") for name in TABLES])
+
+
+def publish_star(star: Star, path: str) -> str:
+    """Write the star to a new version folder below ``path`` and then make it the current one."""
+    spark = star.entities.sparkSession
+    version = f"version-{uuid.uuid4().hex}"
+    write_star(star, f"{path}/{version}")
+    # one row in one file; the rows of earlier versions stay, the latest time counts
+    spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("since")).coalesce(1).write.mode(
+        "append").parquet(f"{path}/current")
+    return version
+
+
+def current_star(spark: SparkSession, path: str, id_type=None) -> Star:
+    """The star that was published last below ``path``."""
+    version = spark.read.parquet(f"{path}/current").agg(F.max_by("version", "since")).first()[0]
+    return read_star(spark, f"{path}/{version}", id_type)

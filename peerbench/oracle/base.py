@@ -142,6 +142,13 @@ TABLES: dict[str, str] = {
   SELECT entity_id, item_code, entity_name, peer_group, place, locality, {r('net', 2)} AS net,
          {r('net_z', 2)} AS z_score, {r('gross_net_ratio', 2)} AS gross_net_ratio, volume_tier,
          {OUTLIER_TYPE} AS outlier_type, net_z FROM extreme""",
+    "all_variation": f"""
+  SELECT peer_group, count(DISTINCT entity_id) AS entity_count, {r('max(net) / nullif(min(net), 0)', 1)} AS variation_ratio
+  FROM merged GROUP BY peer_group""",
+    "flagged": f"""
+  SELECT *, {r('net_z', 2)} AS z_score, {OUTLIER_TYPE} AS outlier_type FROM merged WHERE is_outlier = 1""",
+    "broken_entities": """
+  SELECT * FROM entities WHERE entity_id % 10 <> 0 UNION ALL SELECT * FROM entities WHERE entity_id % 10 <> 0 AND entity_id % 7 = 0""",
     "spreads": f"""
   SELECT i.item_desc, count(DISTINCT i.entity_id) AS entities, {r('avg(m.net)', 2)} AS avg_net,
          {r('max(m.net)', 2)} AS max_net, {r('min(m.net)', 2)} AS min_net,

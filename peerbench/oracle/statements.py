@@ -46,27 +46,27 @@ def _histogram() -> str:
              WHERE net_z BETWEEN -6 AND 6 GROUP BY 1) c ON c.bin = b.bin"""
 
 
-def _pivot() -> str:
-    regions = ("AFRICA", "AMERICA", "ASIA", "EUROPE")
+def _pivot(top: str = "") -> str:
+    regions = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     columns = ", ".join(
         f"coalesce({r(f'''avg(net) FILTER (WHERE region = '{x}')''', 2)}, 0) AS \"{x}\"" for x in regions)
     return f"""
-  SELECT peer_group, {columns} FROM merged
-  WHERE region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE') AND peer_group IN (
-    SELECT peer_group FROM merged GROUP BY peer_group ORDER BY avg(net) DESC, peer_group LIMIT 5)
+  SELECT peer_group, {columns} FROM merged WHERE peer_group IN (
+    SELECT peer_group FROM merged GROUP BY peer_group ORDER BY avg(net) DESC, peer_group {top})
   GROUP BY peer_group"""
 
 
 def _silhouette() -> str:
-    distance = "sqrt(" + " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATURES) + ")"
+    square = " + ".join(f"{f} * {f}" for f in FEATURES)
+    dot = " + ".join(f"p.{f} * c.s_{f}" for f in FEATURES)
     return f"""
-  , points AS MATERIALIZED (SELECT * FROM nearest ORDER BY md5('42|' || CAST(entity_id AS VARCHAR)), entity_id LIMIT 1000),
-  sums AS (SELECT a.entity_id, a.cluster_id AS own, b.cluster_id AS other, sum({distance}) AS total, count(*) AS n
-           FROM points a JOIN points b ON true GROUP BY ALL),
-  ab AS (SELECT entity_id, max(n) FILTER (WHERE own = other) AS n,
-                max(total / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a,
-                min(total / n) FILTER (WHERE own <> other) AS b FROM sums GROUP BY entity_id)
-  SELECT count(*) AS sample_size, {r('avg(CASE WHEN n = 1 OR b IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END)', 4)} AS silhouette
+  , sums AS (SELECT cluster_id, count(*) AS n, sum({square}) AS q, {', '.join(f'sum({f}) AS s_{f}' for f in FEATURES)} FROM nearest GROUP BY cluster_id),
+  ab AS (SELECT entity_id, max(c.n) FILTER (WHERE p.cluster_id = c.cluster_id) AS n,
+                max((c.n * ({square}) + c.q - 2 * ({dot})) / nullif(c.n - 1, 0)) FILTER (WHERE p.cluster_id = c.cluster_id) AS a,
+                min((c.n * ({square}) + c.q - 2 * ({dot})) / c.n) FILTER (WHERE p.cluster_id <> c.cluster_id) AS b
+         FROM nearest p JOIN sums c ON true GROUP BY entity_id)
+  SELECT count(*) AS row_count, CAST((SELECT count(*) FROM sums) AS INT) AS clusters,
+         {r('avg(CASE WHEN n = 1 OR b IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END)', 4)} AS silhouette
   FROM ab"""
 
 
@@ -88,8 +88,8 @@ def _report() -> str:
         row("mean_z", "abs(avg(net_z))", "0.5", "WARNING", "abs(avg(net_z)) <= 0.5"),
         row("z_not_finite", bad, "0", "ERROR", f"{bad} = 0"),
         row("max_net", "max(net)", "1000000", "WARNING", "max(net) <= 1000000"),
-        row("places_covered", "count(DISTINCT place)", "1", "INFO", "count(DISTINCT place) >= 1"),
-        row("peers_covered", "count(DISTINCT peer_group)", "1", "INFO", "count(DISTINCT peer_group) >= 1"),
+        row("places_covered", "count(DISTINCT place)", "(SELECT count(*) FROM nation)", "INFO", "count(DISTINCT place) >= (SELECT count(*) FROM nation)"),
+        row("peers_covered", "count(DISTINCT peer_group)", "(SELECT count(DISTINCT c_mktsegment) FROM customer)", "INFO", "count(DISTINCT peer_group) >= (SELECT count(DISTINCT c_mktsegment) FROM customer)"),
         row("total_rows", "count(*)", "NULL", "INFO", "true"),
         row("distinct_entities", "count(DISTINCT entity_id)", "NULL", "INFO", "true"),
         row("outlier_rows", "sum(is_outlier)", "NULL", "INFO", "true"),
@@ -160,18 +160,18 @@ QUERIES: dict[str, str] = {
     "q5_items": "SELECT * FROM spreads",
     "q6_item_quartiles": _quartiles("m.entity_id = i.entity_id"),
     "q6_strict": _quartiles("m.entity_id = i.entity_id AND m.item_code = i.item_code"),
-    "query_summary": f"SELECT (SELECT peer_group FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 1) AS top_peer, (SELECT max(variation_ratio) FROM variation) AS top_ratio, (SELECT {r('avg(variation_ratio)', 1)} FROM variation) AS mean_ratio, (SELECT count(*) FROM listed WHERE outlier_type = 'Expensive Outlier') AS expensive, (SELECT count(*) FROM listed WHERE outlier_type = 'Cheap Outlier') AS cheap, (SELECT item_desc FROM spreads ORDER BY net_spread DESC, item_desc LIMIT 1) AS widest_item, (SELECT max(net_spread) FROM spreads) AS widest_spread",
+    "query_summary": f"SELECT (SELECT peer_group FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 1) AS top_peer, (SELECT max(variation_ratio) FROM variation) AS top_ratio, (SELECT {r('avg(variation_ratio)', 1)} FROM variation) AS mean_ratio, (SELECT count(*) FROM flagged WHERE outlier_type = 'Expensive Outlier') AS expensive, (SELECT count(*) FROM flagged WHERE outlier_type = 'Cheap Outlier') AS cheap, (SELECT item_desc FROM spreads ORDER BY net_spread DESC, item_desc LIMIT 1) AS widest_item, (SELECT max(net_spread) FROM spreads) AS widest_spread",
     # sets and samples
     "union_batches": "SELECT peer_group, count(*) AS n FROM (SELECT peer_group FROM measures JOIN entities USING (entity_id) WHERE is_outlier = 1 UNION ALL SELECT peer_group FROM measures JOIN entities USING (entity_id) WHERE is_outlier = 0) GROUP BY peer_group",
     "list_peers": "SELECT DISTINCT peer_group FROM entities",
-    "expected_minus_actual": "SELECT n_name AS place FROM nation WHERE n_name NOT IN (SELECT place FROM entities WHERE volume_tier = 'Low')",
+    "expected_minus_actual": "SELECT n_name AS place FROM nation WHERE n_name NOT IN (SELECT place FROM entities WHERE entity_id % 89 = 0)",
     "sample_points": f"SELECT {LINE_KEY} FROM measures ORDER BY md5('42|' || CAST(entity_id AS VARCHAR) || '|' || item_code), entity_id, item_code LIMIT 500",
     # quality
     "dq_report": _report(),
-    "dq_duplicates": "SELECT count(*) - count(DISTINCT (entity_id, item_code)) AS duplicate_rows FROM scored",
-    "dq_outlier_flag": "SELECT count(*) FILTER (WHERE is_outlier = 1 AND NOT coalesce(abs(net_z) > 2, false)) AS wrongly_flagged, count(*) FILTER (WHERE is_outlier = 0 AND coalesce(abs(net_z) > 2, false)) AS wrongly_unflagged FROM measures",
-    "dq_unique_entity": "SELECT count(*) FILTER (WHERE n > 1) AS repeated_ids FROM (SELECT count(*) AS n FROM entities GROUP BY entity_id)",
-    "dq_orphans": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS orphan_rows FROM {t} WHERE entity_id NOT IN (SELECT entity_id FROM entities)" for t in ("items", "measures", "segments")),
+    "dq_duplicates": "SELECT count(*) FILTER (WHERE is_outlier = 1) AS duplicate_rows FROM scored",
+    "dq_outlier_flag": "SELECT count(*) FILTER (WHERE is_outlier = 1 AND NOT coalesce(abs(net_z) > 2, false)) AS wrongly_flagged, count(*) FILTER (WHERE is_outlier = 0 AND coalesce(abs(net_z) > 2, false)) AS wrongly_unflagged FROM (SELECT * REPLACE (CASE WHEN entity_id % 5 = 0 THEN 1 - is_outlier ELSE is_outlier END AS is_outlier) FROM measures)",
+    "dq_unique_entity": "SELECT count(*) FILTER (WHERE n > 1) AS repeated_ids FROM (SELECT count(*) AS n FROM broken_entities GROUP BY entity_id)",
+    "dq_orphans": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS orphan_rows FROM {t} WHERE entity_id NOT IN (SELECT entity_id FROM broken_entities)" for t in ("items", "measures", "segments")),
     "dq_ratio": f"SELECT count(*) FILTER (WHERE gross < net) AS gross_below_net, count(*) FILTER (WHERE net_per_unit <= 0) AS unit_not_positive, {r('avg(CAST(gross_net_ratio < 0.99 AS INT))', 6)} AS low_ratio_share FROM measures",
     # exploration
     "eda_summary": f"SELECT count(*) AS rows, count(DISTINCT entity_id) AS entities, count(DISTINCT peer_group) AS peers, count(DISTINCT place) AS places, {r('avg(net)', 2)} AS mean_net, {r('median(net)', 2)} AS median_net, {r('stddev_samp(net)', 2)} AS sd_net, {r('avg(is_outlier)', 4)} AS outlier_fraction FROM merged",
@@ -180,7 +180,7 @@ QUERIES: dict[str, str] = {
     "eda_volume_scatter": f"SELECT {LINE_KEY}, peer_group, total_volume, {r('net', 2)} AS net, {r('least(greatest(gross_net_ratio, 0), 10) * 5', 3)} AS dot_size FROM merged WHERE peer_group IN (SELECT peer_group FROM merged GROUP BY peer_group ORDER BY count(*) DESC, peer_group LIMIT 8) ORDER BY md5('42|' || CAST(entity_id AS VARCHAR) || '|' || item_code), entity_id, item_code LIMIT 5000",
     "eda_z_histogram": _histogram(),
     "eda_variation_top15": f"SELECT peer_group, {r('max(net) / min(net)', 2)} AS variation_ratio FROM merged GROUP BY peer_group HAVING min(net) > 0 ORDER BY max(net) / min(net) DESC, peer_group LIMIT 15",
-    "eda_region_pivot": _pivot(),
+    "eda_region_pivot": _pivot("LIMIT 5"),
     # segmentation with fixed labels
     "ml_features": f"SELECT entity_id, {_rounded([*FEATURES, 'avg_net'], 4)} FROM features",
     "ml_impute": f"SELECT entity_id, {_rounded(FEATURES, 4)} FROM imputed",
@@ -192,20 +192,20 @@ QUERIES: dict[str, str] = {
     "seg_update_fixed": f"SELECT entity_id, item_diversity, {r('avg_z', 4)} AS avg_z, cluster_id, cluster_name, performance_tier FROM segments",
     # lookups and dashboards
     "api_health": _counts("entities", "items", "measures", "segments"),
-    "api_entity_profile": f"SELECT entity_id, e.entity_name, e.peer_group, e.place, e.locality, e.region, coalesce(s.cluster_name, 'Unassigned') AS cluster_name, {r('coalesce(m.net, 0)', 2)} AS avg_net, {r('coalesce(m.z, 0)', 3)} AS avg_z, {r('coalesce(m.gnr, 0)', 3)} AS gross_net_ratio, coalesce(s.performance_tier, 'Unknown') AS performance_tier, e.total_volume, e.volume_tier, coalesce(s.item_diversity, 0) AS item_diversity, i.items_text FROM entities e JOIN (SELECT entity_id, avg(net) AS net, avg(net_z) AS z, avg(gross_net_ratio) AS gnr FROM measures GROUP BY entity_id) m USING (entity_id) LEFT JOIN segments s USING (entity_id) LEFT JOIN (SELECT entity_id, string_agg(item_code || '=' || CAST(CAST(services AS BIGINT) AS VARCHAR), ';' ORDER BY item_code) AS items_text FROM items GROUP BY entity_id) i USING (entity_id)",
+    "api_entity_profile": f"SELECT *, coalesce(entity_name, 'Unnamed') || ' / ' || concat_ws(', ', peer_group, locality) || printf(': mean net %.2f, ', avg_net) || CASE WHEN avg_z > 0 THEN 'dearer than' WHEN avg_z < 0 THEN 'cheaper than' ELSE 'level with' END || printf(' the peer mean (z %.3f); ', avg_z) || cluster_name || ', tier ' || performance_tier AS summary FROM (SELECT entity_id, e.entity_name, e.peer_group, e.place, e.locality, e.region, coalesce(s.cluster_name, 'Unassigned') AS cluster_name, {r('coalesce(m.net, 0)', 2)} AS avg_net, {r('coalesce(m.z, 0)', 3)} AS avg_z, {r('coalesce(m.gnr, 0)', 3)} AS gross_net_ratio, coalesce(s.performance_tier, 'Unknown') AS performance_tier, e.total_volume, e.volume_tier, coalesce(s.item_diversity, 0) AS item_diversity, i.items_text FROM entities e JOIN (SELECT entity_id, avg(net) AS net, avg(net_z) AS z, avg(gross_net_ratio) AS gnr FROM measures GROUP BY entity_id) m USING (entity_id) LEFT JOIN segments s USING (entity_id) LEFT JOIN (SELECT entity_id, string_agg(item_code || '=' || CAST(CAST(services AS BIGINT) AS VARCHAR) || 'x' || CAST(times AS VARCHAR), ';' ORDER BY item_code, item_desc) AS items_text FROM (SELECT entity_id, item_code, item_desc, sum(services) AS services, count(*) AS times FROM items GROUP BY ALL) GROUP BY entity_id) i USING (entity_id))",
     "api_peer_profile": f"SELECT peer_group, count(DISTINCT entity_id) AS entity_count, {r('avg(net)', 2)} AS avg_net, {r('min(net)', 2)} AS min_net, {r('max(net)', 2)} AS max_net, {r('max(net) / nullif(min(net), 0)', 1)} AS variation_ratio, CAST(sum(total_volume) AS BIGINT) AS total_volume, CAST(sum(is_outlier) AS BIGINT) AS outlier_rows, any_value(top_places) AS top_places FROM merged JOIN (SELECT peer_group, string_agg(place, ', ' ORDER BY rank) AS top_places FROM (SELECT peer_group, place, row_number() OVER (PARTITION BY peer_group ORDER BY count(*) DESC, place) AS rank FROM entities GROUP BY peer_group, place) WHERE rank <= 3 GROUP BY peer_group) t USING (peer_group) GROUP BY peer_group",
     "api_outliers": f"SELECT entity_id, m.entity_name, m.peer_group, m.place, m.locality, m.volume_tier, {r('net', 2)} AS net, {r('net_z', 3)} AS z_score, {r('gross_net_ratio', 3)} AS gross_net_ratio, {OUTLIER_TYPE} AS outlier_type, s.cluster_name, s.performance_tier FROM (SELECT * FROM merged WHERE is_outlier = 1 {EXTREME_ORDER} LIMIT 20) m LEFT JOIN segments s USING (entity_id)",
-    "dash_kpis": f"SELECT (SELECT count(DISTINCT entity_id) FROM entities) AS total_entities, (SELECT count(*) FROM items) AS total_items, (SELECT count(*) FROM measures WHERE is_outlier = 1) AS total_outliers, (SELECT {r('avg(variation_ratio)', 1)} FROM dash_variation) AS avg_variation_ratio",
+    "dash_kpis": f"SELECT (SELECT count(DISTINCT entity_id) FROM entities) AS total_entities, (SELECT count(*) FROM items) AS total_items, (SELECT count(*) FROM measures WHERE is_outlier = 1) AS total_outliers, (SELECT {r('avg(variation_ratio)', 1)} FROM all_variation) AS avg_variation_ratio",
     "dash_peer_variation": "SELECT * FROM dash_variation",
     "dash_geo": f"SELECT place, region, {r('avg(net)', 2)} AS avg_net, count(DISTINCT entity_id) AS entity_count FROM merged GROUP BY place, region",
     "dash_clusters": f"SELECT cluster_name, count(*) AS entity_count, {r('avg(avg_z)', 3)} AS avg_z FROM segments WHERE cluster_name IS NOT NULL GROUP BY cluster_name",
     "dash_outliers": f"SELECT entity_name, peer_group, place, net, z_score, CASE WHEN net_z > 2 THEN 'Expensive' ELSE 'Cheap' END AS side FROM (SELECT * FROM listed {EXTREME_ORDER} LIMIT 50)",
-    "bi_overview": f"SELECT CAST(sum(entity_count) AS BIGINT) AS total_entities, {r('avg(variation_ratio)', 2)} AS avg_variation_ratio, (SELECT count(z_score) FROM listed) AS outliers_listed FROM variation",
+    "bi_overview": f"SELECT CAST(sum(entity_count) AS BIGINT) AS total_entities, {r('avg(variation_ratio)', 2)} AS avg_variation_ratio, (SELECT count(*) FROM flagged) AS total_outliers FROM all_variation",
     "bi_top_peers": "SELECT peer_group, avg_net FROM variation ORDER BY avg_net DESC, peer_group LIMIT 10",
-    "bi_peer_vs_national": f"SELECT peer_group, variation_ratio, {r('(SELECT avg(variation_ratio) FROM variation)', 2)} AS mean_ratio, CASE WHEN variation_ratio > (SELECT avg(variation_ratio) FROM variation) THEN 'above' ELSE 'below' END AS position FROM variation",
-    "bi_region_compare": f"SELECT region, {r('mean', 2)} AS region_avg FROM region_means",
+    "bi_peer_vs_national": f"SELECT peer_group, variation_ratio, {r('(SELECT avg(variation_ratio) FROM all_variation)', 2)} AS mean_ratio, CASE WHEN variation_ratio > (SELECT avg(variation_ratio) FROM all_variation) THEN 'above' ELSE 'below' END AS position FROM all_variation",
+    "bi_region_compare": f"SELECT region, {r('avg(place_avg)', 2)} AS region_avg, CAST(sum(entity_count) AS BIGINT) AS entity_count, max(place_avg) AS top_avg FROM geographic GROUP BY region",
     "bi_cluster_region": f"SELECT cluster_name, region, count(*) AS entity_count, {r('any_value(n) * 1.0 / (SELECT count(*) FROM segments WHERE cluster_name IS NOT NULL)', 4)} AS cluster_share FROM entities JOIN segments USING (entity_id) JOIN (SELECT cluster_name, count(*) AS n FROM segments GROUP BY cluster_name) c USING (cluster_name) GROUP BY cluster_name, region",
-    "bi_outlier_mix": f"SELECT peer_group, outlier_type, count(*) AS outlier_count, {r('count(*) * 100.0 / (SELECT count(*) FROM entities)', 4)} AS pct_of_entities, {r('avg(z_score)', 3)} AS avg_z FROM listed GROUP BY peer_group, outlier_type",
+    "bi_outlier_mix": f"SELECT peer_group, outlier_type, count(*) AS outlier_count, {r('count(*) * 100.0 / (SELECT count(*) FROM entities)', 4)} AS pct_of_entities, {r('avg(z_score)', 3)} AS avg_z FROM flagged GROUP BY peer_group, outlier_type",
     # alerts and lookups by id
     "alert_outlier_count": f"SELECT count(*) AS outlier_count, {r('avg(abs(net_z))', 2)} AS avg_severity, CAST(200 AS INT) AS threshold, CAST(count(*) > 200 AS INT) AS fires FROM measures WHERE is_outlier = 1",
     "alert_top10": f"SELECT entity_name, peer_group, place, net, z_score FROM (SELECT * FROM listed {EXTREME_ORDER} LIMIT 10)",
@@ -216,9 +216,10 @@ QUERIES: dict[str, str] = {
     "stream_daily_alert": _windows("2000-01-03 09:00:00", DAY, ", CAST(sum(CAST(coalesce(abs(net_z) > 2, false) AS INT)) AS BIGINT) AS outlier_count, CAST(sum(CAST(coalesce(abs(net_z) > 2, false) AS INT)) > 200 AS INT) AS fires FROM event_scores GROUP BY 1"),
     "stream_weekly_counts": _windows("2000-01-03 08:00:00", WEEK, ", CASE WHEN count(*) > 1000 THEN 'OK' ELSE 'FAIL' END AS status FROM events GROUP BY 1"),
     # narrative facts
-    "insight_peer": f"SELECT (SELECT peer_group FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 1) AS top_peer, max(variation_ratio) AS top_ratio, (SELECT peer_group FROM variation ORDER BY variation_ratio, peer_group DESC LIMIT 1) AS bottom_peer, min(variation_ratio) AS bottom_ratio, {r('avg(variation_ratio)', 2)} AS mean_ratio, CAST(coalesce(sum(entity_count) FILTER (WHERE variation_ratio > 1.5 * (SELECT avg(variation_ratio) FROM variation)), 0) AS BIGINT) AS entities_in_wide_peers FROM variation",
+    "insight_peer": f"SELECT (SELECT peer_group FROM all_variation ORDER BY variation_ratio DESC, peer_group LIMIT 1) AS top_peer, max(variation_ratio) AS top_ratio, (SELECT peer_group FROM all_variation ORDER BY variation_ratio, peer_group DESC LIMIT 1) AS bottom_peer, min(variation_ratio) AS bottom_ratio, {r('avg(variation_ratio)', 2)} AS mean_ratio, CAST(coalesce(sum(entity_count) FILTER (WHERE variation_ratio > 1.5 * (SELECT avg(variation_ratio) FROM all_variation)), 0) AS BIGINT) AS entities_in_wide_peers FROM all_variation",
     "insight_geo": f"SELECT (SELECT region FROM region_means ORDER BY mean DESC, region LIMIT 1) AS top_region, {r('max(mean)', 2)} AS top_region_avg, (SELECT region FROM region_means ORDER BY mean, region LIMIT 1) AS low_region, {r('min(mean)', 2)} AS low_region_avg, {r('(max(mean) - min(mean)) / min(mean)', 4)} AS gap, (SELECT place FROM geographic ORDER BY place_avg DESC, place, region, peer_group LIMIT 1) AS top_place, (SELECT max(place_avg) FROM geographic) AS top_place_avg FROM region_means",
-    "insight_outlier": f"SELECT (SELECT count(*) FROM listed WHERE outlier_type = 'Expensive Outlier') AS expensive, (SELECT count(*) FROM listed WHERE outlier_type = 'Cheap Outlier') AS cheap, entity_name AS top_entity, peer_group AS top_peer, place AS top_place, z_score AS top_z, (SELECT {r('avg(abs(z_score))', 2)} FROM listed) AS mean_abs_z, {r('abs(z_score) * 500 + 200', 2)} AS illustrative_extra FROM (SELECT * FROM listed {EXTREME_ORDER} LIMIT 1)",
-    "insight_overall": f"SELECT (SELECT count(*) FROM variation) AS peers, (SELECT {r('avg(variation_ratio)', 2)} FROM variation) AS mean_ratio, (SELECT count(*) FROM listed) AS outliers_listed, (SELECT CASE WHEN count(*) >= 2 THEN {r('(max(mean) - min(mean)) / min(mean)', 4)} END FROM region_means) AS region_spread",
+    "insight_outlier": f"SELECT (SELECT count(*) FROM flagged WHERE outlier_type = 'Expensive Outlier') AS expensive, (SELECT count(*) FROM flagged WHERE outlier_type = 'Cheap Outlier') AS cheap, entity_name AS top_entity, peer_group AS top_peer, place AS top_place, z_score AS top_z, (SELECT {r('avg(abs(z_score))', 2)} FROM flagged) AS mean_abs_z, {r('abs(z_score) * 500 + 200', 2)} AS illustrative_extra FROM (SELECT * FROM flagged {EXTREME_ORDER} LIMIT 1)",
+    "insight_overall": f"SELECT (SELECT count(*) FROM all_variation) AS peers, (SELECT {r('avg(variation_ratio)', 2)} FROM all_variation) AS mean_ratio, (SELECT count(*) FROM flagged) AS total_outliers, (SELECT CASE WHEN count(*) >= 2 THEN {r('(max(mean) - min(mean)) / min(mean)', 4)} END FROM region_means) AS region_spread",
     "prompt_context": "SELECT 'PEER VARIATION' AS section, concat_ws(' | ', peer_group, CAST(entity_count AS VARCHAR), printf('%.2f', avg_net), printf('%.2f', variation_ratio)) AS line FROM (SELECT * FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 5) UNION ALL SELECT 'GEOGRAPHIC', concat_ws(' | ', place, region, peer_group, printf('%.2f', place_avg)) FROM (SELECT * FROM geographic ORDER BY place_avg DESC, place, region, peer_group LIMIT 5) UNION ALL SELECT 'OUTLIERS', concat_ws(' | ', entity_name, peer_group, place, printf('%.2f', net), printf('%.2f', z_score)) FROM (SELECT * FROM listed " + EXTREME_ORDER + " LIMIT 5)",
+    "prompt_context_10": "SELECT 'PEER VARIATION' AS section, concat_ws(' | ', peer_group, CAST(entity_count AS VARCHAR), printf('%.2f', avg_net), printf('%.2f', variation_ratio)) AS line FROM (SELECT * FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 10) UNION ALL SELECT 'GEOGRAPHIC', concat_ws(' | ', place, region, peer_group, printf('%.2f', place_avg)) FROM (SELECT * FROM geographic ORDER BY place_avg DESC, place, region, peer_group LIMIT 10) UNION ALL SELECT 'OUTLIERS', concat_ws(' | ', entity_name, peer_group, place, printf('%.2f', net), printf('%.2f', z_score)) FROM (SELECT * FROM listed " + EXTREME_ORDER + " LIMIT 10)",
 }

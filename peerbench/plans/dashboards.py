@@ -26,7 +26,7 @@ def kpis(star: Star) -> DataFrame:
         star.entities.agg(F.count_distinct("entity_id").alias("total_entities")),
         star.items.agg(F.count(F.lit(1)).alias("total_items")),
         star.measures.agg(F.count_if(F.col("is_outlier") == 1).alias("total_outliers")),
-        peer_variation(star).agg(round_stable(F.avg("variation_ratio"), 1).alias("avg_variation_ratio")),
+        q.peer_figures(star).agg(round_stable(F.avg("variation_ratio"), 1).alias("avg_variation_ratio")),
     )
 
 
@@ -53,12 +53,12 @@ def top_outliers(star: Star, limit: int = 50) -> DataFrame:
 
 
 def overview(star: Star) -> DataFrame:
-    """Report cards: entities over the listed peers, mean ratio, listed outliers."""
+    """Report cards over all peer groups: entities, mean ratio, outlier rows."""
     return q.side_by_side(
-        q.peer_variation(star).agg(
+        q.peer_figures(star).agg(
             F.sum("entity_count").alias("total_entities"),
             round_stable(F.avg("variation_ratio"), 2).alias("avg_variation_ratio")),
-        q.outliers(star).agg(F.count("z_score").alias("outliers_listed")),
+        q.outlier_rows(star).agg(F.count(F.lit(1)).alias("total_outliers")),
     )
 
 
@@ -72,19 +72,24 @@ def top_peers_by_cost(star: Star, top: int = 10) -> DataFrame:
 
 def peer_vs_all(star: Star) -> DataFrame:
     """Variation ratio of each peer group against the mean of all ratios."""
-    listed = q.peer_variation(star).select("peer_group", "variation_ratio")
+    listed = q.peer_figures(star).select("peer_group", "variation_ratio")
     mean = listed.agg(F.avg("variation_ratio")).scalar()
     return listed.select(
         "peer_group", "variation_ratio", round_stable(mean, 2).alias("mean_ratio"),
         F.when(F.col("variation_ratio") > mean, "above").otherwise("below").alias("position"))
 
 
+def region_means(star: Star) -> DataFrame:
+    """Unweighted mean of the place-and-peer means per region."""
+    return q.place_figures(star).groupBy("region").agg(round_stable(F.avg("place_avg"), 2).alias("region_avg"))
+
+
 def region_compare(star: Star) -> DataFrame:
-    """Unweighted mean of the place-and-peer means per region, highest first."""
-    return (
-        q.geographic(star).groupBy("region").agg(round_stable(F.avg("place_avg"), 2).alias("region_avg"))
-        .orderBy(F.desc("region_avg"), "region")
-    )
+    """Mean of means, entities and costliest place-and-peer mean per region, highest first."""
+    return q.named_agg(
+        q.place_figures(star).groupBy("region"),
+        region_avg=round_stable(F.avg("place_avg"), 2), entity_count=F.sum("entity_count"), top_avg=F.max("place_avg"),
+    ).orderBy(F.desc("region_avg"), "region")
 
 
 def cluster_by_region(star: Star) -> DataFrame:
@@ -101,11 +106,12 @@ def cluster_by_region(star: Star) -> DataFrame:
         round_stable(ratio(F.col("_n"), total), 4).alias("cluster_share"))
 
 
-def outlier_mix(star: Star, limit: int = 100) -> DataFrame:
-    """Listed outliers by peer group and type, as a share of all entities, with their mean score."""
+def outlier_mix(star: Star) -> DataFrame:
+    """All outlier rows by peer group and type, as a share of all entities, with their mean score."""
     entities = star.entities.agg(F.count(F.lit(1))).scalar()
-    listed = q.outliers(star, limit)
-    return listed.groupBy("peer_group", "outlier_type").agg(
+    rows = q.outlier_rows(star).select(
+        "peer_group", q.outlier_type("net_z").alias("outlier_type"), round_stable("net_z", 2).alias("z_score"))
+    return rows.groupBy("peer_group", "outlier_type").agg(
         F.count(F.lit(1)).alias("outlier_count"),
         round_stable(ratio(F.count(F.lit(1)), entities) * 100, 4).alias("pct_of_entities"),
         round_stable(F.avg("z_score"), 3).alias("avg_z"))

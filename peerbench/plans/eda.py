@@ -123,9 +123,10 @@ def variation_top(star: Star, top: int = 15) -> DataFrame:
         "variation_ratio", "peer_group")
 
 
-def region_pivot(star: Star, regions: list[str], top: int = 5) -> DataFrame:
-    """Mean net amount of the costliest peers in the given regions, one column per region."""
-    leading = top_peers(star, mean_of("net"), top)
-    kept = star.rollup.join(leading, "peer_group", "left_semi").filter(F.col("region").isin(regions))
+def region_pivot(star: Star, regions: list[str], top: int | None = 5) -> DataFrame:
+    """Mean net amount of the costliest peers (or of all) in the given regions, one column per region."""
+    kept = star.rollup.filter(F.col("region").isin(regions))
+    if top is not None:
+        kept = kept.join(top_peers(star, mean_of("net"), top), "peer_group", "left_semi")
     wide = kept.groupBy("peer_group").pivot("region", regions).agg(round_stable(mean_of("net"), 2))
     return wide.fillna(0.0, subset=regions).orderBy("peer_group")

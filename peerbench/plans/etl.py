@@ -7,33 +7,43 @@ from pyspark.sql import DataFrame, SparkSession
 from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.quality import passed, quality_report
-from peerbench.operators.star import Star, read_star, star_tables, write_star
+from peerbench.operators.star import Star, current_star, publish_star, star_tables
 from peerbench.plans import facts, queries, segments
 from peerbench.roles import Roles
 from peerbench.session import materialize, together
-from peerbench.sources.csvs import read_raw_csv, write_csv, write_text
+from peerbench.sources.csvs import read_raw_csv, require_columns, write_csv, write_text
 from peerbench.sources.dims import state_regions
 
 
+# The coverage a full raw file has at least.
+PLACES_EXPECTED = 45
+PEERS_EXPECTED = 25
+
+
 class QualityError(RuntimeError):
     """A strict load met failed checks."""
 
 
 def load_raw(
     spark: SparkSession, raw_path: str, star_path: str, roles: Roles = Roles(),
-    places: DataFrame | None = None, strict: bool = False,
+    places: DataFrame | None = None, strict: bool = False, places_expected: int = PLACES_EXPECTED,
+    peers_expected: int = PEERS_EXPECTED, multi_line: bool = False,
 ) -> tuple[Star, DataFrame]:
     """Read, clean, enrich, check and store; returns the star and the quality report.
 
-    Failed checks are reported and do not stop the load unless it is ``strict``.
+    A raw file without one of the columns that play a role is an error. Failed checks are reported and do not stop
+    the load unless it is ``strict``. The tables go to a new folder below ``star_path``, named last in the file
+    ``current``, so that a failed load leaves the former star in place.
     """
-    cleaned = materialize(clean(roles.rename(read_raw_csv(spark, raw_path))), "cleaned")
+    raw = read_raw_csv(spark, raw_path, multi_line)
+    raw = require_columns(raw, [c for role, c in vars(roles).items() if role != "age"])
+    cleaned = materialize(clean(roles.rename(raw)), "cleaned")
     scored = materialize(enrich(cleaned, state_regions(spark) if places is None else places), "scored")
-    report = materialize(quality_report(scored), "quality")
+    report = materialize(quality_report(scored, places_expected, peers_expected), "quality")
     if strict and not passed(report).first()["all_passed"]:
         raise QualityError("the quality report has failed checks")
-    write_star(star_tables(scored), star_path)
-    return read_star(spark, star_path), report
+    publish_star(star_tables(scored), star_path)
+    return current_star(spark, star_path), report
 
 
 def save_results(star: Star, path: str) -> list[str]:

@@ -18,7 +18,7 @@ def _best(columns, by):
 
 def peer_facts(star: Star) -> DataFrame:
     """Peers with the widest and narrowest ratio, the mean, and entities far above the mean."""
-    listed = q.peer_variation(star)
+    listed = q.peer_figures(star)
     mean = listed.agg(F.avg("variation_ratio")).scalar()
     shape = ["peer_group", "variation_ratio"]
     return (
@@ -37,7 +37,7 @@ def peer_facts(star: Star) -> DataFrame:
 
 def geo_facts(star: Star) -> DataFrame:
     """Costliest and cheapest region by the mean of means, their gap, and the costliest place."""
-    groups = q.geographic(star)
+    groups = q.place_figures(star)
     regions = groups.groupBy("region").agg(F.avg("place_avg").alias("mean"))
     ends = regions.agg(
         _best(["region", "mean"], [-F.col("mean"), "region"]).alias("top"),
@@ -51,17 +51,15 @@ def geo_facts(star: Star) -> DataFrame:
         F.col("place.place").alias("top_place"), F.col("place.place_avg").alias("top_place_avg"))
 
 
-def outlier_facts(star: Star, limit: int = 100) -> DataFrame:
-    """Sides and mean severity of the listed outliers and the most extreme of them.
+def outlier_facts(star: Star) -> DataFrame:
+    """Sides and mean severity of all outlier rows and the most extreme of them.
 
     ``illustrative_extra`` is a made-up figure of the narrative, not a measurement.
     """
-    listed = q.most_extreme(q.outlier_rows(star), limit).withColumns({
-        "z": round_stable("net_z", 2), "type": q.outlier_type("net_z")})
+    rows = q.outlier_rows(star).withColumn("z", round_stable("net_z", 2))
     first = _best(["entity_name", "peer_group", "place", "z"], [-F.abs("net_z"), "entity_id", "item_code"])
-    return listed.agg(
-        F.count_if(F.col("type") == "Expensive Outlier").alias("expensive"),
-        F.count_if(F.col("type") == "Cheap Outlier").alias("cheap"),
+    return rows.agg(
+        *q.outlier_counts(),
         first.alias("top"), round_stable(F.avg(F.abs("z")), 2).alias("mean_abs_z"),
     ).select(
         "expensive", "cheap", F.col("top.entity_name").alias("top_entity"),
@@ -72,10 +70,10 @@ def outlier_facts(star: Star, limit: int = 100) -> DataFrame:
 
 def overall_facts(star: Star) -> DataFrame:
     """Headline figures of the other fact rows."""
-    listed = q.peer_variation(star).agg(
+    listed = q.peer_figures(star).agg(
         F.count(F.lit(1)).alias("peers"), round_stable(F.avg("variation_ratio"), 2).alias("mean_ratio"))
-    outliers = q.outliers(star).agg(F.count(F.lit(1)).alias("outliers_listed"))
-    regions = q.geographic(star).groupBy("region").agg(F.avg("place_avg").alias("mean")).agg(
+    outliers = q.outlier_rows(star).agg(F.count(F.lit(1)).alias("total_outliers"))
+    regions = q.place_figures(star).groupBy("region").agg(F.avg("place_avg").alias("mean")).agg(
         round_stable(F.when(F.count(F.lit(1)) >= 2, ratio(F.max("mean") - F.min("mean"), F.min("mean"))), 4)
         .alias("region_spread"))
     return q.side_by_side(listed, outliers, regions)
@@ -119,7 +117,7 @@ def geo_sentence(facts: DataFrame) -> DataFrame:
 def outlier_sentence(facts: DataFrame) -> DataFrame:
     """One sentence over ``outlier_facts``."""
     return facts.select(F.format_string(
-        "Of the listed outliers %d are expensive and %d cheap; the most extreme is %s in %s (%s) with a z-score "
+        "Of all outlier rows %d are expensive and %d cheap; the most extreme is %s in %s (%s) with a z-score "
         "of %.1f, against a mean distance of %.1f.",
         "expensive", "cheap", "top_entity", "top_peer", "top_place", "top_z", "mean_abs_z").alias("text"))
 
@@ -127,5 +125,5 @@ def outlier_sentence(facts: DataFrame) -> DataFrame:
 def overall_sentence(facts: DataFrame) -> DataFrame:
     """One sentence over ``overall_facts``."""
     return facts.select(F.format_string(
-        "Across %d peer groups the mean variation ratio is %.1fx, the regions differ by %s, and %d outliers are listed.",
-        "peers", "mean_ratio", F.coalesce(percent(F.col("region_spread")), F.lit("N/A")), "outliers_listed").alias("text"))
+        "Across %d peer groups the mean variation ratio is %.1fx, the regions differ by %s, and %d rows are outliers.",
+        "peers", "mean_ratio", F.coalesce(percent(F.col("region_spread")), F.lit("N/A")), "total_outliers").alias("text"))

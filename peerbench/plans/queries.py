@@ -44,21 +44,31 @@ def entity_count():
     return F.count(F.lit(1))
 
 
-def peer_variation(star: Star, more_than: int = 20) -> DataFrame:
-    """Cost variation per peer group, widest ratio first."""
+def peer_figures(star: Star) -> DataFrame:
+    """Cost variation of every peer group, in no order."""
     return named_agg(
         star.rollup.groupBy("peer_group"),
         entity_count=entity_count(), **rollup_spread(),
         variation_ratio=round_stable(rollup_ratio(), 1), avg_z=round_stable(mean_of("net_z"), 3),
-    ).filter(F.col("entity_count") > more_than).orderBy(F.desc("variation_ratio"), "peer_group")
+    )
 
 
-def geographic(star: Star) -> DataFrame:
-    """Mean net amount per place, region and peer group, highest first."""
+def peer_variation(star: Star, more_than: int = 20) -> DataFrame:
+    """Cost variation per peer group of enough entities, widest ratio first."""
+    return peer_figures(star).filter(F.col("entity_count") > more_than).orderBy(F.desc("variation_ratio"), "peer_group")
+
+
+def place_figures(star: Star) -> DataFrame:
+    """Mean net amount per place, region and peer group, in no order."""
     return named_agg(
         star.rollup.groupBy("place", "region", "peer_group"),
         place_avg=round_stable(mean_of("net"), 2), entity_count=entity_count(),
-    ).orderBy(F.desc("place_avg"), "place", "region", "peer_group")
+    )
+
+
+def geographic(star: Star) -> DataFrame:
+    """Mean net amount per place, region and peer group, highest first."""
+    return place_figures(star).orderBy(F.desc("place_avg"), "place", "region", "peer_group")
 
 
 def volume_cost(star: Star) -> DataFrame:
@@ -75,6 +85,12 @@ def outlier_rows(star: Star) -> DataFrame:
     return star.merged.filter("is_outlier = 1")
 
 
+def outlier_counts():
+    """Outlier rows of either type, over all rows that are aggregated."""
+    kind = outlier_type("net_z")
+    return [F.count_if(kind == "Expensive Outlier").alias("expensive"), F.count_if(kind == "Cheap Outlier").alias("cheap")]
+
+
 def most_extreme(rows: DataFrame, limit: int) -> DataFrame:
     """Top rows by absolute z-score, ties by entity and item."""
     return rows.orderBy(F.desc(F.abs("net_z")), "entity_id", "item_code").limit(limit)
@@ -155,9 +171,7 @@ def summary(star: Star) -> DataFrame:
         F.min_by("peer_group", F.struct(-F.col("variation_ratio"), "peer_group")).alias("top_peer"),
         F.max("variation_ratio").alias("top_ratio"),
         round_stable(F.avg("variation_ratio"), 1).alias("mean_ratio"))
-    extreme = outliers(star).agg(
-        F.count_if(F.col("outlier_type") == "Expensive Outlier").alias("expensive"),
-        F.count_if(F.col("outlier_type") == "Cheap Outlier").alias("cheap"))
+    extreme = outlier_rows(star).agg(*outlier_counts())
     widest = item_spread(star, limit=1).agg(
         F.first("item_desc").alias("widest_item"), F.first("net_spread").alias("widest_spread"))
     return side_by_side(variation, extreme, widest)

@@ -8,7 +8,6 @@ from math import factorial
 from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -17,7 +16,6 @@ from pyspark.sql import functions as F
 from peerbench.functions.labels import performance_tier
 from peerbench.functions.numbers import ratio, round_stable
 from peerbench.operators.ranks import exact_quantiles
-from peerbench.operators.sampling import fixed_sample
 from peerbench.operators.star import Star
 from peerbench.session import materialize, together
 
@@ -85,17 +83,18 @@ def cheapest(models: Iterable[KMeansModel]) -> KMeansModel:
 
 def k_search(scaled: DataFrame, ks: Iterable[int] = range(2, 9), inits: int = 3, max_iter: int = 50) -> DataFrame:
     """Inertia and silhouette for every k over all rows; the best silhouette, lowest k first, is chosen."""
-    vectors = with_vector(scaled).select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    ks = list(ks)
-    fitted = fit_kmeans(vectors, [(k, seed) for k in ks for seed in range(42, 42 + inits)], max_iter)
-    best = {k: cheapest(fitted[i * inits:(i + 1) * inits]) for i, k in enumerate(ks)}
-
-    def job(model: KMeansModel):
-        return lambda: float(ClusteringEvaluator().evaluate(model.transform(vectors)))
-
-    scores = together(scaled.sparkSession, *[job(model) for model in best.values()])
-    rows = [(k, float(m.summary.trainingCost), score) for (k, m), score in zip(best.items(), scores)]
-    vectors.unpersist()
+    vectors = with_vector(scaled).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ks = list(ks)
+        fitted = fit_kmeans(vectors, [(k, seed) for k in ks for seed in range(42, 42 + inits)], max_iter)
+        best = {k: cheapest(fitted[i * inits:(i + 1) * inits]) for i, k in enumerate(ks)}
+        labelled = vectors
+        for k, model in best.items():
+            labelled = model.copy().setPredictionCol(f"k{k}").transform(labelled)
+        scores = {r["label"]: r["silhouette"] for r in silhouette(labelled, [f"k{k}" for k in ks]).collect()}  # a row per k
+    finally:
+        vectors.unpersist()
+    rows = [(k, float(m.summary.trainingCost), float(scores[f"k{k}"])) for k, m in best.items()]
     chosen = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return scaled.sparkSession.createDataFrame(
         [(k, cost, score, int(k == chosen)) for k, cost, score in rows],
@@ -105,12 +104,13 @@ def k_search(scaled: DataFrame, ks: Iterable[int] = range(2, 9), inits: int = 3,
 def assign_kmeans(scaled: DataFrame, k: int, inits: int = 5, max_iter: int = 200) -> DataFrame:
     """The scaled features with the cluster of every entity, by the cheapest of several runs."""
     vectors = with_vector(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    model = cheapest(fit_kmeans(vectors, [(k, seed) for seed in range(42, 42 + inits)], max_iter))
-    labelled = materialize(
-        model.transform(vectors).withColumn("cluster_id", F.col("prediction").cast("int"))
-        .drop("features", "prediction"), "clusters")
-    vectors.unpersist()
-    return labelled
+    try:
+        model = cheapest(fit_kmeans(vectors, [(k, seed) for seed in range(42, 42 + inits)], max_iter))
+        return materialize(
+            model.transform(vectors).withColumn("cluster_id", F.col("prediction").cast("int"))
+            .drop("features", "prediction"), "clusters")
+    finally:
+        vectors.unpersist()
 
 
 def assign_nearest(scaled: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:
@@ -214,69 +214,61 @@ def projected_centroids(points: DataFrame) -> DataFrame:
     return points.groupBy("cluster_id").agg(F.avg("pc1").alias("pc1"), F.avg("pc2").alias("pc2"))
 
 
-def sampled_silhouette(labelled: DataFrame, size: int = 1000, seed: int = 42) -> DataFrame:
-    """Mean silhouette by Euclidean distance over a sample of bounded size.
+def silhouette(labelled: DataFrame, columns: Sequence[str] = ("cluster_id",)) -> DataFrame:
+    """label, rows, clusters and mean silhouette by squared Euclidean distance for each label column, over all rows.
 
-    The sample travels as one array; each of its rows measures its own distances.
+    The mean squared distance of a row to a cluster follows from the cluster's count, sums and sum of squares, so one
+    aggregation and one pass over the rows give the values of all label columns.
     """
-    sample = materialize(
-        fixed_sample(labelled, ["entity_id"], size, seed)
-        .select("entity_id", "cluster_id", F.array(*FEATURES).alias("x")), "silhouette")
-    points = sample.agg(F.collect_list(F.struct("cluster_id", "x"))).scalar()
-    kinds = sample.agg(F.collect_set("cluster_id")).scalar()
-
-    def distance(a, b):
-        return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
-
-    measured = sample.withColumns({"points": points, "kinds": kinds}).select(
-        "cluster_id",
-        F.transform("kinds", lambda kind: F.struct(
-            kind.alias("kind"),
-            F.size(F.filter("points", lambda p: p["cluster_id"] == kind)).alias("n"),
-            F.aggregate(
-                F.filter("points", lambda p: p["cluster_id"] == kind), F.lit(0.0),
-                lambda s, p: s + distance(F.col("x"), p["x"])).alias("total"),
-        )).alias("by_kind"))
-    own = F.filter("by_kind", lambda k: k["kind"] == F.col("cluster_id"))[0]
-    others = F.filter("by_kind", lambda k: k["kind"] != F.col("cluster_id"))
-    scored = measured.select(
-        own["n"].alias("n"), ratio(own["total"], own["n"] - 1).alias("a"),
-        F.array_min(F.transform(others, lambda k: k["total"] / k["n"])).alias("b"))
+    labels = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).cast("int").alias("id")) for c in columns]))
+    x = F.array(*[F.col(f).cast("double") for f in FEATURES])
+    rows = labelled.select(labels.alias("l"), x.alias("x")).select("l.label", "l.id", "x", _dot(F.col("x"), F.col("x")).alias("xx"))
+    sums = [F.sum(F.col("x")[j]).alias(f"s{j}") for j in range(len(FEATURES))]
+    per = rows.groupBy("label", "id").agg(F.count(F.lit(1)).alias("n"), F.sum("xx").alias("q"), *sums)
+    packed = F.struct("id", "n", "q", F.array(*[f"s{j}" for j in range(len(FEATURES))]).alias("s"))
+    clusters = materialize(per.groupBy("label").agg(F.collect_list(packed).alias("clusters")), "clusters")  # k structs a label
+
+    def total(c):
+        return c["n"] * F.col("xx") + c["q"] - 2 * _dot(F.col("x"), c["s"])
+
+    own = F.filter("clusters", lambda c: c["id"] == F.col("id"))[0]
+    others = F.filter("clusters", lambda c: c["id"] != F.col("id"))
+    measured = rows.join(clusters, "label").select(
+        "label", F.size("clusters").alias("k"), own["n"].alias("n"), ratio(total(own), own["n"] - 1).alias("a"),
+        F.array_min(F.transform(others, lambda c: total(c) / c["n"])).alias("b"))
     score = F.when((F.col("n") == 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce(ratio(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-    return scored.agg(F.count(F.lit(1)).alias("sample_size"), round_stable(F.avg(score), 4).alias("silhouette"))
+    return measured.groupBy("label").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("k").alias("clusters"), F.avg(score).alias("silhouette"))
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda s, d: s + d)
 
 
-def importance(labelled: DataFrame, sample_size: int = 500, background_size: int = 30, seed: int = 42) -> DataFrame:
-    """How much each feature decides the cluster: forest importance and mean absolute Shapley value.
+def importance(labelled: DataFrame, seed: int = 42) -> DataFrame:
+    """How much each feature decides the cluster: forest importance and mean absolute Shapley value of all entities.
 
-    Five features make 32 coalitions, so the values are exact: a sampled row takes the features of
-    the coalition from itself and the others from every background row, and the forest's mean
-    probability is weighted by the Shapley coefficient of the coalition.
+    Five features make 32 coalitions, so the values are exact: an entity takes the features of the coalition from itself
+    and the others from the mean entity, which is the background, and the forest's probability is weighted by the
+    Shapley coefficient of the coalition.
     """
     trained = with_vector(labelled).withColumn("label", F.col("cluster_id").cast("double"))
     forest = RandomForestClassifier(numTrees=30, maxDepth=6, seed=seed).fit(trained)
     n = len(FEATURES)
 
-    background = materialize(
-        fixed_sample(labelled, ["entity_id"], background_size, seed + 1).select(F.array(*FEATURES).alias("x")),
-        "background").agg(F.collect_list("x")).scalar()
-    sample = materialize(
-        fixed_sample(labelled, ["entity_id"], sample_size, seed)
-        .select("entity_id", F.array(*FEATURES).alias("x")), "sample")
+    mean = materialize(labelled.agg(F.array(*[F.avg(f) for f in FEATURES]).alias("mean")), "mean").select("mean").scalar()
     mixed = (
-        sample.withColumn("background", background)
-        .repartition(sample.sparkSession.sparkContext.defaultParallelism, "entity_id")
+        labelled.select("entity_id", F.array(*FEATURES).alias("x"), mean.alias("mean"))
         .withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit(2**n - 1))))
-        .withColumn("other", F.explode("background"))
         .select("entity_id", "mask", array_to_vector(F.array(*[
-            F.when(F.col("mask").bitwiseAND(1 << j) != 0, F.col("x")[j]).otherwise(F.col("other")[j])
+            F.when(F.col("mask").bitwiseAND(1 << j) != 0, F.col("x")[j]).otherwise(F.col("mean")[j])
             for j in range(n)])).alias("features"))
     )
     values = (
         forest.transform(mixed)
         .select("entity_id", "mask", F.posexplode(vector_to_array("probability")).alias("class", "p"))
-        .groupBy("entity_id", "class", "mask").agg(F.avg("p").alias("v"))
+        .withColumnRenamed("p", "v")
     )
 
     def coefficient(j: int, mask: int) -> float:
@@ -290,10 +282,11 @@ def importance(labelled: DataFrame, sample_size: int = 500, background_size: int
         return F.sum(F.get(table, F.col("mask")) * F.col("v"))
 
     shares = values.groupBy("entity_id", "class").agg(*[contribution(j).alias(f"phi{j}") for j in range(n)])
-    means = shares.agg(*[F.avg(F.abs(f"phi{j}")).alias(f"phi{j}") for j in range(n)])
+    means = shares.agg(
+        F.count_if(F.col("class") == 0).alias("row_count"), *[F.avg(F.abs(f"phi{j}")).alias(f"phi{j}") for j in range(n)])
     rows = F.array(*[
         F.struct(F.lit(FEATURES[j]).alias("feature"),
                  F.lit(float(forest.featureImportances[j])).alias("forest_importance"),
-                 F.col(f"phi{j}").alias("mean_abs_shapley"))
+                 F.col(f"phi{j}").alias("mean_abs_shapley"), F.col("row_count").alias("row_count"))
         for j in range(n)])
     return means.select(F.explode(rows).alias("r")).select("r.*").orderBy(F.desc("mean_abs_shapley"))

@@ -11,18 +11,17 @@ from peerbench.functions.labels import outlier_type, performance_tier
 from peerbench.functions.numbers import round_stable, to_number
 from peerbench.operators import clean, features, quality
 from peerbench.operators.sampling import fixed_sample
+from peerbench.operators.star import Star
 from peerbench.plans import alerts, dashboards, eda, facts, profiles, segments
 from peerbench.plans import queries as q
 from peerbench.session import fresh_path
 from peerbench.sources.csvs import read_raw_csv, write_csv
-from peerbench.sources.synthetic import synthesize_for
 from peerbench.sources.tables import damaged_text, read_table
 from peerbench.streaming import jobs
 from peerbench.workspace import Workspace, workspace
 
 Query = Callable[[Workspace], DataFrame]
 KEY = ("entity_id", "item_code")
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]  # the pivot shows four of the five regions
 
 
 def _rounded(df: DataFrame, columns, digits: int) -> DataFrame:
@@ -66,19 +65,26 @@ def _arg_extreme(w: Workspace) -> DataFrame:
 
 
 def _profiles(w: Workspace) -> DataFrame:
-    """Profiles with the item list as one text, so that it can be compared."""
+    """Profiles with the item list as one text, so that the tables can be compared by value."""
     found = profiles.entity_profile(w.labelled_star)
     listed = F.array_join(F.transform("items", lambda i: F.concat(
-        i["item_code"], F.lit("="), i["services"].cast("bigint").cast("string"))), ";")
-    return found.withColumn("items_text", listed).drop("items", "summary")
+        i["item_code"], F.lit("="), i["services"].cast("bigint").cast("string"), F.lit("x"), i["times"].cast("string"))), ";")
+    return found.withColumn("items_text", listed).drop("items")
 
 
-def _scored_events(w: Workspace) -> DataFrame:
-    return jobs.score(jobs.event_stream(w.spark, _events_glob(w)), w.event_stats)
+def _event_stream(w: Workspace, spark: SparkSession) -> DataFrame:
+    """The events of the folder, whether they are one file or a folder of files."""
+    return jobs.event_stream(spark, f"{w.sf_dir.rstrip('/')}/{{events.parquet}}")
 
 
-def _events_glob(w: Workspace) -> str:
-    return f"{w.sf_dir.rstrip('/')}/events.parquet*"
+def _published(w: Workspace, spark: SparkSession) -> DataFrame:
+    """The stored peer statistics, read in another session."""
+    return spark.read.schema(w.event_stats.schema).parquet(*w.event_stats.inputFiles())
+
+
+def _folders(w: Workspace, label: str) -> tuple[str, str]:
+    """Output and checkpoint of a run of its own."""
+    return fresh_path(w.spark, label), fresh_path(w.spark, f"{label}-checkpoint")
 
 
 def _stamp(df: DataFrame) -> DataFrame:
@@ -86,17 +92,19 @@ def _stamp(df: DataFrame) -> DataFrame:
 
 
 def _stream_score(w: Workspace) -> DataFrame:
-    return jobs.run_append(_scored_events(w), "scores").select("event_id", "entity_id", "peer_group", "net_z", "is_outlier")
+    scored = jobs.score(_event_stream(w, w.spark), w.event_stats)
+    return jobs.run_append(scored, *_folders(w, "scores")).select("event_id", "entity_id", "peer_group", "net_z", "is_outlier")
 
 
 def _stream_daily(w: Workspace) -> DataFrame:
-    return _stamp(jobs.with_daily_alert(jobs.run_updates(
-        jobs.daily_outliers(_scored_events(w), "2 days"), "starts", "daily")))
+    own = jobs.own_session(w.spark)
+    scored = jobs.score(_event_stream(w, own), _published(w, own))
+    return _stamp(jobs.with_daily_alert(jobs.run_updates(jobs.daily_outliers(scored, "2 days"), "starts", *_folders(w, "daily"))))
 
 
 def _stream_weekly(w: Workspace) -> DataFrame:
-    return _stamp(jobs.with_weekly_gate(jobs.run_updates(
-        jobs.weekly_rows(jobs.event_stream(w.spark, _events_glob(w)), "2 days"), "starts", "weekly")))
+    weekly = jobs.weekly_rows(_event_stream(w, jobs.own_session(w.spark)), "2 days")
+    return _stamp(jobs.with_weekly_gate(jobs.run_updates(weekly, "starts", *_folders(w, "weekly"))))
 
 
 def _union(w: Workspace) -> DataFrame:
@@ -106,12 +114,25 @@ def _union(w: Workspace) -> DataFrame:
     return batches.groupBy("peer_group").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _report(w: Workspace) -> DataFrame:
+    """The report with the places and peer groups that the dimensions hold."""
+    peers = read_table(w.spark, w.sf_dir, "customer").select("c_mktsegment").distinct().count()
+    return quality.quality_report(w.scored, w.places.count(), peers)
+
+
+def _broken_star(w: Workspace) -> Star:
+    """The star with every tenth entity lost, every seventh twice, and the flags of every fifth turned round."""
+    entities = w.star.entities.filter("entity_id % 10 <> 0")
+    turned = F.when(F.col("entity_id") % 5 == 0, 1 - F.col("is_outlier")).otherwise(F.col("is_outlier"))
+    return Star(
+        entities.unionByName(entities.filter("entity_id % 7 = 0")), w.star.items,
+        w.star.measures.withColumn("is_outlier", turned), w.star.segments)
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "src_csv_raw": _csv_raw,
     "src_star_counts": _star_counts,
-    "src_synthetic": lambda w: synthesize_for(
-        read_table(w.spark, w.sf_dir, "customer").select(F.col("c_custkey").alias("id"))),
     "dim_region": _region_sizes,
     "star_entities": lambda w: w.star.entities,
     "star_items": lambda w: _rounded(w.star.items, ["services"], 2),
@@ -163,11 +184,11 @@ QUERIES: dict[str, Query] = {
     "conditional_counts": lambda w: w.star.measures.agg(
         F.count_if(F.col("net_z") > 2).alias("expensive"), F.count_if(F.col("net_z") < -2).alias("cheap"),
         round_stable(F.avg("is_outlier"), 4).alias("outlier_fraction")),
-    "two_level_region_mean": lambda w: dashboards.region_compare(w.star),
-    "pivot_region": lambda w: eda.region_pivot(w.star, REGIONS),
+    "two_level_region_mean": lambda w: dashboards.region_means(w.star),
+    "pivot_region": lambda w: eda.region_pivot(w.star, w.regions, None),
     "value_counts": lambda w: w.star.merged.groupBy("peer_group").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "peer_group"),
     # windows, top-k
-    "peer_zscore_window": lambda w: _zscored(w).select(*KEY, "net_z"),
+    "peer_zscore_window": lambda w: features.add_zscore_window(w.cleaned).select(*KEY, "net_z"),
     "topk_per_peer": lambda w: profiles.top_outliers_per_peer(w.star),
     "arg_extreme": _arg_extreme,
     "head_preview": lambda w: q.geographic(w.star).limit(10),
@@ -184,14 +205,14 @@ QUERIES: dict[str, Query] = {
     "union_batches": _union,
     "list_peers": lambda w: profiles.peers(w.star),
     "expected_minus_actual": lambda w: quality.missing_values(
-        w.places.select("place"), w.star.entities.filter("volume_tier = 'Low'").select("place")),
+        w.places.select("place"), w.star.entities.filter("entity_id % 89 = 0").select("place")),
     "sample_points": lambda w: fixed_sample(w.star.measures.select(*KEY), KEY, 500, 42),
     # quality
-    "dq_report": lambda w: quality.quality_report(w.scored),
-    "dq_duplicates": lambda w: quality.duplicates(w.scored),
-    "dq_outlier_flag": lambda w: quality.outlier_flag_errors(w.star),
-    "dq_unique_entity": lambda w: quality.repeated_ids(w.star.entities),
-    "dq_orphans": lambda w: quality.orphans(w.star),
+    "dq_report": _report,
+    "dq_duplicates": lambda w: quality.duplicates(w.scored.unionByName(w.scored.filter("is_outlier = 1"))),
+    "dq_outlier_flag": lambda w: quality.outlier_flag_errors(_broken_star(w)),
+    "dq_unique_entity": lambda w: quality.repeated_ids(_broken_star(w).entities),
+    "dq_orphans": lambda w: quality.orphans(_broken_star(w)),
     "dq_ratio": lambda w: quality.ratio_checks(w.star),
     "dq_cluster_coverage": lambda w: quality.cluster_coverage(w.segmented_star.segments),
     # exploration
@@ -201,14 +222,15 @@ QUERIES: dict[str, Query] = {
     "eda_volume_scatter": lambda w: eda.volume_scatter(w.star),
     "eda_z_histogram": lambda w: eda.z_histogram(w.star),
     "eda_variation_top15": lambda w: eda.variation_top(w.star),
-    "eda_region_pivot": lambda w: eda.region_pivot(w.star, REGIONS),
+    "eda_region_pivot": lambda w: eda.region_pivot(w.star, w.regions),
     # segmentation
     "ml_features": lambda w: _rounded(w.features, [*segments.FEATURES, "avg_net"], 4),
     "ml_impute": lambda w: _rounded(
         segments.impute_median(w.features).drop("avg_net"), segments.FEATURES, 4),
     "ml_scaled": lambda w: _rounded(w.scaled.drop("avg_net"), segments.FEATURES, 4),
     "ml_k_search": lambda w: w.k_search,
-    "ml_silhouette_euclid": lambda w: segments.sampled_silhouette(w.nearest),
+    "ml_silhouette_euclid": lambda w: segments.silhouette(w.nearest).select(
+        "row_count", "clusters", round_stable("silhouette", 4).alias("silhouette")),
     "ml_assign": lambda w: w.clustered.select("entity_id", "cluster_id"),
     "ml_cluster_names": lambda w: segments.name_clusters(
         segments.centroids(segments.with_clusters(w.features, w.nearest))),
@@ -248,6 +270,7 @@ QUERIES: dict[str, Query] = {
     "insight_outlier": lambda w: facts.outlier_facts(w.star),
     "insight_overall": lambda w: facts.overall_facts(w.star),
     "prompt_context": lambda w: facts.context_rows(w.star),
+    "prompt_context_10": lambda w: facts.context_rows(w.star, 10, 10, 10),
 }
 
 

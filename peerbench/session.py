@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -9,7 +12,7 @@ from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 from typing import TypeVar
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -34,18 +37,24 @@ def build_session(app: str = "peerbench", master: str | None = None, **conf: str
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    shared_dir(session)  # asked for now rather than in the middle of a query
+    return session
 
 
-def shared_dir(spark: SparkSession) -> str | None:
-    """The folder every executor can reach, or None on a cluster that names none.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the checkpoint folder of the context.
 
-    Only a local master may fall back to a folder of this machine.
+    Only a session of this machine may go without; its folder is removed when Python ends. A cluster that
+    names none is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named is None and spark.sparkContext.master.startswith("local"):
-        named = tempfile.mkdtemp(prefix="peerbench-")
-        spark.sparkContext.setCheckpointDir(named)
+    if named is None:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="peerbench-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
         named = spark.sparkContext.getCheckpointDir()
     return named
 
@@ -63,10 +72,17 @@ def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """An unused path in the shared folder, below a subfolder of this application."""
-    root = shared_dir(spark)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return f"{root.rstrip('/')}/peerbench-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/peerbench-{spark.sparkContext.applicationId}"
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Delete the stored tables of this application; call it when its results have been written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:
@@ -80,12 +96,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Cuts the lineage without relying on executor-local blocks, and gives the planner real file
-    sizes, so that a small result is broadcast only when its bytes are known to fit. A cluster
-    that names no shared folder keeps the rows in the block manager and can recompute them.
+    sizes, so that a small result is broadcast only when its bytes are known to fit.
     """
     spark = df.sparkSession
-    if shared_dir(spark) is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,31 +2,55 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _read(spark, path, encoding):
-    return spark.read.option("header", True).option("escape", '"').option("encoding", encoding).csv(path)
+def _files(spark: SparkSession, path: str) -> list[tuple[str, str, list[str]]]:
+    """(header, encoding, files): the files of ``path`` by header line and encoding, from one pass over their lines.
 
+    A file with bytes that are not UTF-8 counts as Latin-1. One row per file comes back.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"))
+    found = lines.groupBy("file").agg(
+        F.min_by("value", F.struct("start", "at")).alias("header"), F.max(~F.is_valid_utf8("value")).alias("damaged")).collect()
+    kinds: dict[tuple[str, str], list[str]] = {}
+    for row in sorted(found, key=lambda r: r["file"]):
+        header = row["header"].removeprefix("\ufeff").rstrip("\r")
+        kinds.setdefault((header, "ISO-8859-1" if row["damaged"] else "UTF-8"), []).append(row["file"])
+    return [(header, encoding, files) for (header, encoding), files in kinds.items()]
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A headed CSV with every column as text, so that codes keep their leading zeros.
 
-    Columns are found by the names in the header, in whatever order they come.
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Headed CSV files with every column as text, so that codes keep their leading zeros.
 
-    Bytes that are not UTF-8 decode to U+FFFD instead of failing; if any value holds one, the
-    whole file is read as Latin-1. A missing path is an error.
+    Columns are found by the names in each file's header, in whatever order they come; files with other
+    columns are an error, and so are a missing path and a row with too few or too many fields.
+    Each file is read as UTF-8 or, if it is not, as Latin-1. Quoted line breaks need ``multi_line``,
+    with which a file is read by one task; without it they are an error.
     """
-    utf8 = _read(spark, path, "UTF-8")
-    damaged = F.lit(False)
-    for name in utf8.columns:
-        damaged = damaged | F.coalesce(F.contains(F.col(name), F.lit("�")), F.lit(False))
-    if utf8.filter(damaged).isEmpty():
-        return utf8
-    return _read(spark, path, "ISO-8859-1")
+    out = None
+    for _, encoding, files in _files(spark, path):
+        part = spark.read.options(
+            header=True, escape='"', encoding=encoding, multiLine=multi_line, mode="FAILFAST", columnPruning=False).csv(files)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError(f"no CSV file with a header in {path}")
+    return out
+
+
+def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df``, or an error that names the columns it lacks."""
+    lacking = [c for c in columns if c not in df.columns]
+    if lacking:
+        raise ValueError(f"the raw file lacks {', '.join(lacking)}")
+    return df
 
 
 def write_csv(df: DataFrame, path: str) -> str:
@@ -53,7 +77,6 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 def write_text(df: DataFrame, column: str, path: str, title: str, stamp: str) -> str:
     """Write narrative text under a title and a time that the caller gives."""
-    rule = "=" * 60
-    head = f"{rule}\n{title}\nGenerated: {stamp}\n{rule}\n\n"
+    head = f"# {title} ({stamp})\n\n"
     df.select(F.concat(F.lit(head), F.col(column)).alias("value")).write.mode("overwrite").text(path)
     return path

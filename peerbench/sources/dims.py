@@ -18,68 +18,7 @@ STATE_REGION = {
     "OR": "West", "UT": "West", "WA": "West", "WY": "West",
 }
 
-# Cost multiplier of every region.
-REGION_MULTIPLIERS = {"Northeast": 1.20, "Southeast": 0.95, "Midwest": 0.90, "Southwest": 1.05, "West": 1.15}
-
-# Population weight of every state.
-STATE_WEIGHTS = {
-    "CA": 10, "TX": 9, "FL": 8, "NY": 7, "PA": 5, "IL": 5, "OH": 4, "GA": 4, "NC": 4, "MI": 4, "NJ": 4,
-    "VA": 3, "WA": 3, "AZ": 3, "TN": 3, "MA": 3, "IN": 3, "MO": 3, "MD": 3, "WI": 3,
-    "CO": 2, "MN": 2, "SC": 2, "AL": 2, "LA": 2, "KY": 2, "OR": 2, "OK": 2, "CT": 2, "UT": 2,
-    "IA": 1, "NV": 1, "AR": 1, "MS": 1, "KS": 1, "NM": 1, "NE": 1, "WV": 1, "ID": 1, "HI": 1, "NH": 1,
-    "ME": 1, "RI": 1, "MT": 1, "DE": 1, "SD": 1, "ND": 1, "AK": 1, "VT": 1, "WY": 1,
-}
-
-# Mean and standard deviation of the net amount of every peer group.
-PEER_COSTS = {
-    "Cardiology": (3200, 1800), "Orthopedic Surgery": (4500, 2500), "Oncology": (5200, 3000),
-    "Psychiatry": (800, 400), "Family Medicine": (350, 200), "Internal Medicine": (550, 300),
-    "Neurology": (1800, 1000), "Dermatology": (650, 350), "Gastroenterology": (2100, 1200),
-    "Pulmonology": (1500, 900), "Endocrinology": (900, 500), "Rheumatology": (1200, 700),
-    "Urology": (2200, 1300), "Ophthalmology": (1100, 600), "Otolaryngology": (1600, 900),
-    "Nephrology": (1700, 1000), "Hematology": (3800, 2200), "Infectious Disease": (1400, 800),
-    "Geriatrics": (700, 400), "Allergy/Immunology": (750, 400), "Physical Medicine": (1000, 600),
-    "Radiology": (1300, 700), "Pathology": (2400, 1400), "Anesthesiology": (3500, 2000),
-    "Emergency Medicine": (1800, 1100), "Obstetrics/Gynecology": (1200, 700), "Pediatrics": (400, 220),
-    "Vascular Surgery": (3900, 2200), "Thoracic Surgery": (6200, 3500), "Colorectal Surgery": (4100, 2300),
-}
-
-ITEMS_PER_PEER = 8
-CITIES_PER_STATE = 5
-
 
 def state_regions(spark: SparkSession) -> DataFrame:
     """place, region: the 50 states."""
     return spark.createDataFrame(list(STATE_REGION.items()), "place string, region string")
-
-
-def region_multipliers(spark: SparkSession) -> DataFrame:
-    """region, multiplier."""
-    return spark.createDataFrame(list(REGION_MULTIPLIERS.items()), "region string, multiplier double")
-
-
-def state_weights(spark: SparkSession) -> DataFrame:
-    """place, weight."""
-    rows = [(state, float(weight)) for state, weight in STATE_WEIGHTS.items()]
-    return spark.createDataFrame(rows, "place string, weight double")
-
-
-def peer_costs(spark: SparkSession) -> DataFrame:
-    """peer_group, mean, sd."""
-    rows = [(peer, float(mean), float(sd)) for peer, (mean, sd) in PEER_COSTS.items()]
-    return spark.createDataFrame(rows, "peer_group string, mean double, sd double")
-
-
-def peer_items(spark: SparkSession) -> DataFrame:
-    """peer_group, item_code, item_desc: codes of five digits numbered through, leading zeros kept."""
-    rows = [
-        (peer, f"{p * ITEMS_PER_PEER + i + 1:05d}", f"{peer} item {i + 1}")
-        for p, peer in enumerate(PEER_COSTS) for i in range(ITEMS_PER_PEER)
-    ]
-    return spark.createDataFrame(rows, "peer_group string, item_code string, item_desc string")
-
-
-def state_cities(spark: SparkSession) -> DataFrame:
-    """place, locality: five numbered localities per state."""
-    rows = [(state, f"{state} City {i + 1}") for state in STATE_REGION for i in range(CITIES_PER_STATE)]
-    return spark.createDataFrame(rows, "place string, locality string")

@@ -21,8 +21,9 @@ def place_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (customer, part type): the service lines every operator starts from.
 
-    Lines are aggregated to the grain before the customer's attributes are joined, so that only
-    keys and measures go through the wide shuffle.
+    Lines are aggregated per (order, part type) before orders are joined: the aggregate and the join share the
+    exchange by order, each order counts once per group without a distinct count, and the customer's
+    attributes are joined last, so that only keys and measures go through the wide shuffles.
     """
     lineitem = read_table(spark, sf_dir, "lineitem")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -30,15 +31,19 @@ def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("place"))
     price = F.col("l_extendedprice")
+    gross, net = price * (1 + F.col("l_tax")), price * (1 - F.col("l_discount"))
+    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey).repartition("l_orderkey")
+    per_order = lines.groupBy("l_orderkey", "p_type").agg(
+        F.sum("l_quantity").alias("services"), F.sum(gross).alias("gross"), F.count(gross).alias("n_gross"),
+        F.sum(net).alias("net"), F.count(net).alias("n_net"))
     grain = (
-        lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-        .join(orders, lineitem.l_orderkey == orders.o_orderkey)
+        per_order.join(orders, per_order.l_orderkey == orders.o_orderkey)
         .groupBy(F.col("o_custkey").alias("entity_id"), F.col("p_type").alias("item_code"))
         .agg(
-            F.count_distinct("l_orderkey").alias("volume"),
-            F.sum("l_quantity").alias("services"),
-            F.avg(price * (1 + F.col("l_tax"))).alias("gross"),
-            F.avg(price * (1 - F.col("l_discount"))).alias("net"),
+            F.count(F.lit(1)).alias("volume"),
+            F.sum("services").alias("services"),
+            (F.sum("gross") / F.nullif(F.sum("n_gross"), F.lit(0))).alias("gross"),
+            (F.sum("net") / F.nullif(F.sum("n_net"), F.lit(0))).alias("net"),
         )
     )
     name = F.split("c_name", "#")

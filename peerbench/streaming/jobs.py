@@ -9,7 +9,6 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from peerbench.functions.numbers import flag
 from peerbench.operators.features import add_outlier_flag, add_zscore, peer_stats
-from peerbench.session import fresh_path, setting
 from peerbench.sources.tables import with_event_roles
 
 EVENT_SCHEMA = T.StructType([
@@ -74,36 +73,53 @@ def _drain(writer: DataStreamWriter) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def run_append(stream: DataFrame, label: str) -> DataFrame:
-    """Drain a stateless stream into Parquet files and return them."""
-    spark = stream.sparkSession
-    path = fresh_path(spark, label)
-    _drain(stream.writeStream.format("parquet").option("path", path)
-           .option("checkpointLocation", fresh_path(spark, f"{label}-checkpoint")).outputMode("append"))
-    return spark.read.schema(stream.schema).parquet(path)
+def run_append(stream: DataFrame, output: str, checkpoint: str) -> DataFrame:
+    """Process what a stateless stream has not read yet into Parquet files and return all of them.
+
+    ``checkpoint`` holds what was read: a later call with the same folders takes up from there.
+    """
+    _drain(stream.writeStream.format("parquet").option("path", output)
+           .option("checkpointLocation", checkpoint).outputMode("append"))
+    return stream.sparkSession.read.schema(stream.schema).parquet(output)
+
+
+def late_rows(events: DataFrame, output: str, late: str = "2 days") -> DataFrame:
+    """The rows that a watermark of ``late`` would drop, for a table beside the windows: older than the newest row less ``late``.
+
+    Read over what was stored, since a stream does not hand out the rows that it drops.
+    """
+    newest = events.agg(F.max("at")).scalar()
+    behind = events.filter(F.col("at") < newest - F.expr(f"interval {late}"))
+    behind.write.mode("overwrite").parquet(output)
+    return events.sparkSession.read.schema(events.schema).parquet(output)
+
+
+def own_session(spark: SparkSession, state_partitions: int = 8) -> SparkSession:
+    """A session of the same application for a stateful stream: few state partitions, without changing the caller's."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session
 
 
-def run_updates(stream: DataFrame, key: str, label: str, state_partitions: int = 8) -> DataFrame:
-    """Drain a windowed aggregate, open windows included, and return the last state of every key.
+def run_updates(stream: DataFrame, key: str, output: str, checkpoint: str) -> DataFrame:
+    """Process what a windowed aggregate has not read yet, open windows included, and return the last state of every key.
 
-    The state is one row per window, so a few partitions hold it however many rows are counted.
+    Build ``stream`` on :func:`own_session`: the state is one row per window, so a few partitions hold it however
+    many rows are counted. ``checkpoint`` holds state and progress for the next call.
 
     Every trigger writes the rows it changed below its own batch number: a batch that is run again
     after a failure replaces its files, and the reader keeps the row of the latest batch.
     """
     spark = stream.sparkSession
-    path = fresh_path(spark, label)
     schema = T.StructType(stream.schema.fields + [T.StructField("batch", T.LongType())])
 
     def store(rows: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        rows.write.mode("overwrite").parquet(f"{output}/batch={batch}")
 
-    writer = stream.writeStream.foreachBatch(store).outputMode("update").option(
-        "checkpointLocation", fresh_path(spark, f"{label}-checkpoint"))
-    with setting(spark, "spark.sql.shuffle.partitions", state_partitions):
-        _drain(writer)
+    _drain(stream.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", checkpoint))
     values = [c for c in stream.columns if c != key]
     return (
-        spark.read.schema(schema).parquet(path)
+        spark.read.schema(schema).parquet(output)
         .groupBy(key).agg(F.max_by(F.struct(*values), "batch").alias("last")).select(key, "last.*")
     )

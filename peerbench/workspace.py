@@ -11,7 +11,7 @@ from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.star import Star, read_star, star_tables, write_star
 from peerbench.plans import segments
-from peerbench.session import fresh_path, materialize, shared_dir
+from peerbench.session import fresh_path, materialize
 from peerbench.sources.tables import event_lines, place_regions, service_lines
 from peerbench.streaming.jobs import publish_stats
 
@@ -41,6 +41,11 @@ class Workspace:
     def places(self) -> DataFrame:
         return place_regions(self.spark, self.sf_dir)
 
+    @cached_property
+    def regions(self) -> list[str]:
+        """The names in the region dimension."""
+        return [r["region"] for r in self.places.select("region").distinct().orderBy("region").collect()]
+
     @property
     def events(self) -> DataFrame:
         return event_lines(self.spark, self.sf_dir)
@@ -56,8 +61,6 @@ class Workspace:
     @cached_property
     def star(self) -> Star:
         star = star_tables(self.scored)
-        if shared_dir(self.spark) is None:
-            return Star(*[materialize(t, "star") for t in (star.entities, star.items, star.measures, star.segments)])
         return read_star(self.spark, write_star(star, fresh_path(self.spark, "star")), T.LongType())
 
     @cached_property

@@ -12,7 +12,7 @@ from peerbench.operators.star import star_tables
 from peerbench.plans import eda, profiles, queries
 from peerbench.roles import Roles
 from peerbench.sources import dims
-from peerbench.sources.synthetic import synthesize
+from tests.synthetic import synthesize
 
 
 def same(a, b):

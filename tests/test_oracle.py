@@ -7,8 +7,10 @@ import pytest
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
 from check import TABLES, compare
+from peerbench.oracle import sql_by_key
+from peerbench.registry import all_queries
 
-STATEMENTS = oracle_sql()
+STATEMENTS = sql_by_key()
 TRAINED = ("ml_k_search", "ml_assign", "seg_update", "dq_cluster_coverage", "ml_pca", "ml_pca_centroids", "ml_importance")
 
 
@@ -21,8 +23,8 @@ def db():
 
 
 def test_every_statement_belongs_to_a_query():
-    assert set(STATEMENTS) <= set(queries())
-    assert set(queries()) - set(STATEMENTS) == {*TRAINED, "src_synthetic"}
+    assert set(STATEMENTS) <= set(oracle_sql()) <= set(queries())
+    assert set(all_queries()) - set(STATEMENTS) == set(TRAINED)
 
 
 @pytest.mark.parametrize("key", sorted(STATEMENTS))

@@ -55,3 +55,21 @@ def test_ntile_equals_the_window(spark, accuracy):
     want = rows.selectExpr("*", "ntile(4) over (partition by g order by v, tie) as tile")
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert got.count() == 6000
+
+
+@pytest.mark.parametrize("nulls", [1_000, 30_000])
+def test_ntile_of_null_groups_and_large_groups(spark, nulls):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") >= nulls, F.when(F.col("id") % 500 == 1, "few").otherwise("hot")).alias("g"),
+        (F.col("id") * 7919 % 30011).cast("double").alias("v"), F.md5(F.col("id").cast("string")).alias("tie"))
+    got = exact_ntile(rows, "g", "v", "tie", 4, "tile")
+    want = rows.selectExpr("*", "ntile(4) over (partition by g order by v, tie) as tile")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_no_task_orders_a_whole_bracket(spark):
+    rows = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("v"))
+    got = exact_quantiles(rows, [], "v", FRACTIONS, accuracy=50)
+    values = rows.toPandas()["v"]
+    assert got.first().asDict() == {name: pytest.approx(np.quantile(values, p)) for name, p in FRACTIONS.items()}
+    assert "_part" in got._jdf.queryExecution().toString()

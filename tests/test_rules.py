@@ -66,7 +66,7 @@ def test_dirty_numbers(spark):
     texts = [" 5 ", "abc", "NA", "nan", "", "1e3", "-1", "0", "1d", "2.5f", "inf"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = column(df.select(to_number("t").alias("n")), "n")
-    assert got == [5.0, None, None, None, None, 1000.0, -1.0, 0.0, None, None, float("inf")]
+    assert got == [5.0, None, None, None, None, 1000.0, -1.0, 0.0, None, None, None]
 
 
 def test_cleaning_keeps_positive_rows_only(spark):
@@ -168,3 +168,21 @@ def test_registry_runs_all_six(spark):
     results = queries.run_all(star_tables(scored(spark, rows)))
     assert [k[:2] for k in results] == ["q1", "q2", "q3", "q4", "q5", "q6"]
     assert results["q6_item_quartiles"].count() == 120
+
+
+def test_rounding_keeps_what_has_no_digits(spark):
+    values = [float("nan"), float("inf"), float("-inf"), 1e16, -1e16, 1.00005, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(round_stable("x", 4).alias("r"))
+    got = column(df, "r")
+    assert got[0] != got[0] and got[1:] == [float("inf"), float("-inf"), 1e16, -1e16, 1.0001, None]
+
+
+def test_infinite_amounts_are_missing(spark):
+    df = spark.createDataFrame([("Infinity",), ("-inf",), ("NaN",), ("1e400",), ("2.5",)], "t string").select(to_number("t").alias("n"))
+    assert column(df, "n") == [None, None, None, None, 2.5]
+
+
+def test_the_window_score_equals_the_joined_one(spark):
+    df = nets(spark, ("A", 10.0), ("A", 25.0), ("A", 31.0), ("B", 7.0), ("C", 5.0), ("C", 5.0))
+    joined = df.transform(features.add_zscore, features.peer_stats(df)).select("peer_group", "net", "net_z")
+    assert sorted(joined.collect(), key=str) == sorted(features.add_zscore_window(df).collect(), key=str)

@@ -52,7 +52,7 @@ def test_silhouette_equals_brute_force(spark):
     df = spark.createDataFrame(
         [(i, int(c), *map(float, p)) for i, (c, p) in enumerate(zip(labels, x))],
         "entity_id long, cluster_id int, " + ", ".join(f"{f} double" for f in F5))
-    d = np.linalg.norm(x[:, None] - x[None], axis=2)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
     scores = []
     for i, own in enumerate(labels):
         same = (labels == own) & (np.arange(60) != i)
@@ -62,8 +62,9 @@ def test_silhouette_equals_brute_force(spark):
         a = d[i, same].mean()
         b = min(d[i, labels == k].mean() for k in set(labels) - {own})
         scores.append((b - a) / max(a, b))
-    got = segments.sampled_silhouette(df).first()
-    assert got["sample_size"] == 60 and got["silhouette"] == pytest.approx(np.mean(scores), abs=1e-4)
+    got = {r["label"]: r for r in segments.silhouette(df.withColumn("one", F.lit(1)), ["cluster_id", "one"]).collect()}
+    assert got["cluster_id"]["row_count"] == 60 and got["cluster_id"]["silhouette"] == pytest.approx(np.mean(scores), abs=1e-9)
+    assert got["one"]["silhouette"] == 0 and got["one"]["clusters"] == 1
 
 
 def test_k_means_segments(spark, w):
@@ -95,8 +96,8 @@ def test_projection(w):
 
 
 def test_importance(w):
-    rows = {r["feature"]: r for r in segments.importance(w.nearest, sample_size=40, background_size=8).collect()}
-    assert set(rows) == set(F5)
+    rows = {r["feature"]: r for r in segments.importance(w.nearest).collect()}
+    assert set(rows) == set(F5) and {r["row_count"] for r in rows.values()} == {w.star.entities.count()}
     assert sum(r["forest_importance"] for r in rows.values()) == pytest.approx(1.0)
     assert all(r["mean_abs_shapley"] >= 0 for r in rows.values())
     ranked = sorted(F5, key=lambda f: -rows[f]["mean_abs_shapley"])

@@ -10,8 +10,8 @@ from peerbench.plans import facts, queries
 from peerbench.roles import RAW_COLUMNS, Roles, star_schemas
 from peerbench.session import fresh_path, shared_dir
 from peerbench.sources import dims
-from peerbench.sources.csvs import read_raw_csv, read_result_csv, write_csv, write_text
-from peerbench.sources.synthetic import synthesize, synthesize_for
+from peerbench.sources.csvs import read_raw_csv, read_result_csv, require_columns, write_csv, write_text
+from tests.synthetic import STATE_WEIGHTS, synthesize, synthesize_for
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,44 @@ def test_latin1_fallback(spark, tmp_path):
         assert read_raw_csv(spark, str(file)).first()["provider_last_name"] == "Núñez"
 
 
+def test_files_of_two_header_orders_and_encodings(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("npi,code,name\n00842,3,Núñez\n")
+    (tmp_path / "b.csv").write_text("code,npi,name\n4,00843,Ann\n")
+    (tmp_path / "c.csv").write_bytes("code,npi,name\n5,00844,Muñoz\n".encode("latin-1"))
+    rows = read_raw_csv(spark, str(tmp_path)).orderBy("npi").collect()
+    assert [(r["npi"], r["code"], r["name"]) for r in rows] == [("00842", "3", "Núñez"), ("00843", "4", "Ann"), ("00844", "5", "Muñoz")]
+
+
+def test_bad_rows_are_errors(spark, tmp_path):
+    for name, text in (("many", "a,b\n1,2,3\n"), ("few", "a,b\n1\n")):
+        file = tmp_path / f"{name}.csv"
+        file.write_text(text)
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_raw_csv(spark, str(file)).collect()
+    for other in ("x,y\n1,2\n",):
+        (tmp_path / "two").mkdir()
+        (tmp_path / "two" / "1.csv").write_text("a,b\n1,2\n")
+        (tmp_path / "two" / "2.csv").write_text(other)
+        with pytest.raises(AnalysisException):
+            read_raw_csv(spark, str(tmp_path / "two"))
+    file = tmp_path / "lines.csv"
+    file.write_text('a,b\n"one\ntwo",3\n')
+    assert read_raw_csv(spark, str(file), multi_line=True).collect() == [("one\ntwo", "3")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_raw_csv(spark, str(file)).collect()
+    with pytest.raises(ValueError, match="lacks z"):
+        require_columns(read_raw_csv(spark, str(file), multi_line=True), ["a", "z"])
+
+
+def test_quality_report_sees_numbers_that_are_not_finite(spark, scored):
+    few = scored.limit(20).checkpoint()
+    bad = few.unionByName(few.limit(1).withColumn("net_z", F.lit(float("inf")))).unionByName(
+        few.limit(1).withColumns({"net_z": F.lit(float("nan")), "net": F.lit(1e16)}))
+    report = {r["check_name"]: r for r in quality.quality_report(bad, 1, 1).collect()}
+    assert (report["z_not_finite"]["observed"], report["z_not_finite"]["passed"]) == (2.0, 0)
+    assert (report["max_net"]["observed"], report["max_net"]["passed"]) == (1e16, 0)
+
+
 def test_missing_raw_file_is_an_error(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_raw_csv(spark, str(tmp_path / "none.csv")).count()
@@ -66,15 +104,11 @@ def test_narrative_text(spark, tmp_path):
     frame = spark.createDataFrame([("Hello",)], "text string")
     path = write_text(frame, "text", str(tmp_path / "t"), "Title", "2026-01-01 09:00")
     lines = [r["value"] for r in spark.read.text(path).collect()]
-    assert lines[1:3] == ["Title", "Generated: 2026-01-01 09:00"] and lines[-1] == "Hello"
+    assert lines[0] == "# Title (2026-01-01 09:00)" and lines[-1] == "Hello"
 
 
 def test_constant_tables(spark):
-    assert dims.state_regions(spark).count() == 50 and dims.state_weights(spark).count() == 50
-    assert dims.peer_costs(spark).count() == 30 and dims.region_multipliers(spark).count() == 5
-    assert dims.peer_items(spark).count() == 240 and dims.state_cities(spark).count() == 250
-    weighed = dims.state_weights(spark).join(dims.state_regions(spark), "place")
-    assert weighed.count() == 50
+    assert dims.state_regions(spark).count() == 50 and dims.state_regions(spark).select("region").distinct().count() == 5
 
 
 def test_synthetic_rows_do_not_depend_on_partitions(spark):
@@ -103,7 +137,7 @@ def test_synthetic_distributions(spark):
     assert r["vmin"] >= 1 and r["vmax"] <= 5000 and abs(r["vmed"] - 4.5) < 0.05
     assert r["nmin"] >= 10 and abs(r["age"] - 68) < 0.3 and r["amin"] >= 40 and r["amax"] <= 95
     assert 1.79 <= r["rmin"] and r["rmax"] <= 4.51
-    assert abs(r["ca"] - 10 / sum(dims.STATE_WEIGHTS.values())) < 0.01
+    assert abs(r["ca"] - 10 / sum(STATE_WEIGHTS.values())) < 0.01
     assert r["few"] < 0.01
 
 
@@ -136,9 +170,9 @@ def test_quality_findings(spark, scored):
     few = scored.limit(50).checkpoint()
     doubled = few.unionByName(few.limit(3))
     assert quality.duplicates(doubled).first()["duplicate_rows"] == 3
-    report = {r["check_name"]: r["passed"] for r in quality.quality_report(doubled).collect()}
+    report = {r["check_name"]: r["passed"] for r in quality.quality_report(doubled, 1, 1).collect()}
     assert report["duplicate_pairs"] == 0 and report["negative_net"] == 1
-    assert quality.passed(quality.quality_report(doubled)).first()["all_passed"] == 0
+    assert quality.passed(quality.quality_report(doubled, 1, 1)).first()["all_passed"] == 0
     star = star_tables(few)
     gone = star.entities.orderBy("entity_id").limit(1)
     from dataclasses import replace

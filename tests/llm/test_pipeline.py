@@ -37,6 +37,6 @@ def test_odd_rows_and_names(spark):
     assert docs.columns.count("taken") == 1
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_queries_run(spark, name):
     assert QUERIES[name](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/{'embeddings' if 'op10' in name else 'pages' if 'op8' in name else 'documents'}.parquet").count()

@@ -22,7 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -147,7 +148,9 @@ def _parts(docs: DataFrame, like: Likeness, seen: Bits | None = None) -> DataFra
 def _near(percent: int) -> Column:
     """Whether sizes and sketches of the sides x and y allow the similarity."""
     sizes = (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-    return sizes & (_apart(F.col("x.sketch"), F.col("y.sketch")) * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
+    # one column per word of the sketch: unlike array functions these are compiled
+    apart = reduce(add, [F.bit_count(F.col(f"x.s{i}").bitwiseXOR(F.col(f"y.s{i}"))) for i in range(_SKETCH_BITS // 64)])
+    return sizes & (apart * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -211,7 +214,9 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     """The stored rows of :func:`sets_of`, and (node, component) of the documents that have links."""
     rows = stored(sets_of(docs, like), "sets")
     one = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("tk", "n_shingles", "f1", "f2", "sketch", "wide")).alias("s"))
-    nodes = stored(one.select("doc_id", "s.tk", F.col("s.n_shingles").alias("n"), "s.f1", "s.f2", "s.sketch", "s.wide"), "nodes")
+    sketch = [f"s{i}" for i in range(_SKETCH_BITS // 64)]
+    parts_of_sketch = [F.get("s.sketch", F.lit(i)).alias(c) for i, c in enumerate(sketch)]
+    nodes = stored(one.select("doc_id", "s.tk", F.col("s.n_shingles").alias("n"), "s.f1", "s.f2", *parts_of_sketch, "s.wide"), "nodes")
 
     # part values alone are counted first; only those that occur twice are met again with their documents
     counted = _parts(docs, like).select("part").groupBy("part").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -220,7 +225,7 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     leaders = members.groupBy("part").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
     members = stored(members.join(stored(leaders.where("leader < last").select("part", "leader"), "parts"), "part"), "members")
 
-    side = lambda name, key: nodes.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{name}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", "sketch").alias(name))
+    side = lambda name, key: nodes.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{name}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", *sketch).alias(name))
     equal = ((F.col("x_f1") == F.col("y_f1")) & (F.col("x_f2") == F.col("y_f2")) & (F.col("x.n") == F.col("y.n"))).alias("equal")
     pair = [F.col("a"), F.col("x_tk").alias("a_tk"), F.col("b"), F.col("y_tk").alias("b_tk"), equal]
 
@@ -233,8 +238,8 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     placed = members.select("part", "doc_id").join(first, F.col("doc_id") == F.col("node"), "left").select("part", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     placed = stored(placed, "placed")
     mixed = placed.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("part")
-    open_rows = stored(placed.join(mixed, "part").join(nodes, "doc_id").select("part", "doc_id", "component", "tk", "f1", "f2", "n", "sketch"), "open")
-    x, y = (open_rows.select("part", F.col("doc_id").alias(key), F.col("component").alias(f"{s}_component"), *[F.col(c).alias(f"{s}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", "sketch").alias(s)) for s, key in (("x", "a"), ("y", "b")))
+    open_rows = stored(placed.join(mixed, "part").join(nodes, "doc_id").select("part", "doc_id", "component", "tk", "f1", "f2", "n", *sketch), "open")
+    x, y = (open_rows.select("part", F.col("doc_id").alias(key), F.col("component").alias(f"{s}_component"), *[F.col(c).alias(f"{s}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", *sketch).alias(s)) for s, key in (("x", "a"), ("y", "b")))
     rest = x.join(y, (x["part"] == y["part"]) & (F.col("x_component") < F.col("y_component")) & _near(like.percent)).select(*pair).distinct()
     links = links.union(_confirm(rest, nodes, docs, like))
     return rows, components(links)

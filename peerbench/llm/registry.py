@@ -11,6 +11,7 @@ from peerbench.llm import decontam, embeddings, language, linededup, mixing, ngr
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
     "op2_line_dedup": linededup.op2_line_dedup,
+    "op2_passage_dedup": linededup.op2_passage_dedup,
     "op3_substring_dedup": substring.op3_substring_dedup,
     "op4_language": language.op4_language,
     "op5_mixing": mixing.op5_mixing,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op1_decontamination": decontam.SQL,
     "op2_line_dedup": linededup.SQL,
+    "op2_passage_dedup": linededup.PASSAGE_SQL,
     "op3_substring_dedup": substring.SQL,
     "op5_mixing": mixing.SQL,
     "op6_ngram_join": ngram_join.SQL,

@@ -3,8 +3,9 @@
 Tokens (hashed shingles) are dealt into parts by their leading bits, and each part is the XOR of its tokens, so a
 token in only one of two sets changes one part. Sizes fall into bands; in band b two sets that reach the
 similarity differ in at most d(b) tokens, so of d(b) + 1 + e parts at least 1 + e agree (pigeonhole). Sets meet
-where a part agrees. Parts of fewer than two tokens say little and are left out, unless a set has more than e of
-them. Parity sketches, whose Hamming distance is at most the symmetric difference, reject most false candidates (one
+where a part agrees. Empty parts are left out, and parts of one token too, which say little, unless a set has more than e of
+both. A set of more than e empty parts is also met by its smallest tokens: so many that two sets that reach the
+similarity share one. So texts without a common shingle meet nowhere. Parity sketches, whose Hamming distance is at most the symmetric difference, reject most false candidates (one
 of 1,024 bits within the join, then one of eight bits or more per token); the rest are verified on the whole texts.
 
 No group is paired with itself. In the first round each document meets only the smallest id of each part value
@@ -91,9 +92,10 @@ def part_values(tokens: np.ndarray, percent: int) -> np.ndarray:
         full = np.diff(start, append=len(tokens)) > 1
         if parts[band] - full.sum() <= spare[band]:
             label, value = label[full], value[full]
-        else:
-            empty = np.setdiff1d(np.arange(parts[band], dtype=np.uint64), label, assume_unique=True)
-            label, value = np.append(label, empty), np.append(value, np.zeros(len(empty), np.uint64))
+        elif parts[band] - len(label) > spare[band]:
+            # two such sets may agree in empty parts only, but then share one of so many smallest tokens
+            prefix = tokens[: len(tokens) - -(-len(tokens) * percent // 100) + 1]
+            label, value = np.append(label, np.full(len(prefix), parts[band], np.uint64)), np.append(value, prefix)
         out.append(mix(value ^ mix(label + np.uint64(band << 40) + np.uint64(1))))
     return np.concatenate(out)
 

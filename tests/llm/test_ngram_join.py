@@ -78,3 +78,24 @@ def test_empty_table_and_one_long_text(spark):
     text = " ".join(f"t{i}" for i in range(60_000))
     docs = [(4, text, None, None, 0), (9, text + " end", None, None, 0), (11, "short", None, None, 0)]
     assert found(spark, docs, Likeness()) == [(11, 1, 11), (4, 59_997, 4), (9, 59_998, 4)]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_sets_without_a_common_token_share_no_part(percent):
+    rng, seen = np.random.default_rng(percent), []
+    for n in [*range(1, 40), 200]:
+        for _ in range(20):
+            seen.append(np.unique(part_values(np.unique(rng.integers(0, 1 << 64, n, np.uint64)), percent)))
+    assert len(np.unique(np.concatenate(seen))) == sum(map(len, seen))
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85])
+def test_small_sets_that_reach_the_similarity_share_a_part(percent):
+    rng = np.random.default_rng(percent)
+    for n in range(1, 25):
+        for _ in range(150):
+            larger = np.unique(rng.integers(0, 1 << 64, max(1, n * 100 // percent), np.uint64))
+            if rng.random() < 0.5:  # all in few parts
+                larger = np.unique(larger >> np.uint64(8))
+            a = np.sort(rng.permutation(larger)[: max(1, -(-len(larger) * percent // 100))])
+            assert len(np.intersect1d(part_values(a, percent), part_values(larger, percent)))

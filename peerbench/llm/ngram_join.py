@@ -8,7 +8,8 @@ both. A set of more than e empty parts is also met by its smallest tokens: so ma
 similarity share one. So texts without a common shingle meet nowhere. Parity sketches, whose Hamming distance is at most the symmetric difference, reject most false candidates (one
 of 1,024 bits within the join, then one of eight bits or more per token); the rest are verified on the whole texts.
 
-No group is paired with itself. In the first round each document meets only the smallest id of each part value
+No group is paired with itself. Documents of equal sets, told by size and two fingerprints, link with the smallest id
+of them, which alone goes on for all of them. In the first round each document meets only the smallest id of each part value
 (a minimum and a join), and one of those that pass the sketch is verified. Documents that are then in one component
 need no more comparison; only rows of part values that still hold several components are joined with each
 other, and only pairs from different components that pass size and sketches come out of that join. Of these, the
@@ -209,11 +210,18 @@ def _one_by_one(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def _confirm(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """Links among candidate pairs: equal fingerprints at once, the others by their wide sketches and texts."""
-    pairs = stored(pairs, "pairs")
-    doubtful = stored(_near_wide(pairs.where("not equal").select("a", "a_tk", "b", "b_tk"), nodes, like.percent).drop("apart"), "doubtful")
-    checked = verified(doubtful, docs, like)
-    return stored(pairs.where("equal").select("a", "b").union(checked), "links")
+    """Links among candidate pairs, by their wide sketches and texts."""
+    doubtful = stored(_near_wide(stored(pairs, "pairs"), nodes, like.percent).drop("apart"), "doubtful")
+    return verified(doubtful, docs, like)
+
+
+def distinct_sets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The node of the smallest doc_id of each set, told by size and fingerprints, and (a, b) that links it with each other one."""
+    own = [c for c in nodes.columns if c not in ("n", "f1", "f2")]
+    least = nodes.groupBy("n", "f1", "f2").agg(F.min(F.struct(*own)).alias("s"))
+    heads = stored(least.select("n", "f1", "f2", *[F.col(f"s.{c}").alias(c) for c in own]), "heads")
+    copies = nodes.select("n", "f1", "f2", F.col("doc_id").alias("b")).join(heads.select("n", "f1", "f2", F.col("doc_id").alias("a")), ["n", "f1", "f2"])
+    return heads, stored(copies.where("a < b").select("a", "b"), "copies")
 
 
 def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
@@ -223,6 +231,7 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     sketch = [f"s{i}" for i in range(_SKETCH_BITS // 64)]
     parts_of_sketch = [F.get("s.sketch", F.lit(i)).alias(c) for i, c in enumerate(sketch)]
     nodes = stored(one.select("doc_id", "s.tk", F.col("s.n_shingles").alias("n"), "s.f1", "s.f2", *parts_of_sketch, "s.wide"), "nodes")
+    nodes, copies = distinct_sets(nodes)
 
     # part values alone are counted first; only those that occur twice are met again with their documents
     counted = _parts(docs, like).select("part").groupBy("part").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
@@ -231,21 +240,20 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
     leaders = members.groupBy("part").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
     members = stored(members.join(stored(leaders.where("leader < last").select("part", "leader"), "parts"), "part"), "members")
 
-    side = lambda name, key: nodes.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{name}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", *sketch).alias(name))
-    equal = ((F.col("x_f1") == F.col("y_f1")) & (F.col("x_f2") == F.col("y_f2")) & (F.col("x.n") == F.col("y.n"))).alias("equal")
-    pair = [F.col("a"), F.col("x_tk").alias("a_tk"), F.col("b"), F.col("y_tk").alias("b_tk"), equal]
+    side = lambda name, key: nodes.select(F.col("doc_id").alias(key), F.col("tk").alias(f"{name}_tk"), F.struct("n", *sketch).alias(name))
+    pair = [F.col("a"), F.col("x_tk").alias("a_tk"), F.col("b"), F.col("y_tk").alias("b_tk")]
 
     met = members.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
     met = met.join(side("x", "a"), "a").join(side("y", "b"), "b").where(_near(like.percent)).select(*pair)
-    nearest = met.groupBy("b").agg(F.min(F.struct("a", "a_tk", "b_tk", "equal")).alias("p"))
-    links = _confirm(nearest.select("p.a", "p.a_tk", "b", "p.b_tk", "p.equal"), nodes, docs, like)
+    nearest = met.groupBy("b").agg(F.min(F.struct("a", "a_tk", "b_tk")).alias("p"))
+    links = stored(copies.union(_confirm(nearest.select("p.a", "p.a_tk", "b", "p.b_tk"), nodes, docs, like)), "links")
 
     first = stored(components(links), "first")
-    placed = members.select("part", "doc_id").join(first, F.col("doc_id") == F.col("node"), "left").select("part", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    placed = members.select("part", "doc_id").join(nodes.select("doc_id"), "doc_id").join(first, F.col("doc_id") == F.col("node"), "left").select("part", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     placed = stored(placed, "placed")
     mixed = placed.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("part")
-    open_rows = stored(placed.join(mixed, "part").join(nodes, "doc_id").select("part", "doc_id", "component", "tk", "f1", "f2", "n", *sketch), "open")
-    x, y = (open_rows.select("part", F.col("doc_id").alias(key), F.col("component").alias(f"{s}_component"), *[F.col(c).alias(f"{s}_{c}") for c in ("tk", "f1", "f2")], F.struct("n", *sketch).alias(s)) for s, key in (("x", "a"), ("y", "b")))
+    open_rows = stored(placed.join(mixed, "part").join(nodes, "doc_id").select("part", "doc_id", "component", "tk", "n", *sketch), "open")
+    x, y = (open_rows.select("part", F.col("doc_id").alias(key), F.col("component").alias(f"{s}_component"), F.col("tk").alias(f"{s}_tk"), F.struct("n", *sketch).alias(s)) for s, key in (("x", "a"), ("y", "b")))
     rest = x.join(y, (x["part"] == y["part"]) & (F.col("x_component") < F.col("y_component")) & _near(like.percent)).select(*pair).distinct()
     rest = stored(_near_wide(rest, nodes, like.percent), "rest")
     place = {k: first.select(F.col("node").alias(k), F.col("component").alias(f"{k}_component")) for k in ("a", "b")}
@@ -258,8 +266,7 @@ def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFr
         turn = stored(met.withColumn("turn", F.row_number().over(closest)).where(F.col("turn") <= each).select(*rest.columns), "turn")
         if turn.isEmpty():
             return rows, first
-        checked = verified(turn.where("not equal").select("a", "a_tk", "b", "b_tk"), docs, like)
-        links = stored(links.union(turn.where("equal").select("a", "b")).union(checked), "links")
+        links = stored(links.union(verified(turn.select("a", "a_tk", "b", "b_tk"), docs, like)), "links")
         rest = stored(rest.join(turn.select("a", "b"), ["a", "b"], "left_anti").select(*rest.columns), "rest")
         first = stored(components(links), "first")
         place = {k: first.select(F.col("node").alias(k), F.col("component").alias(f"{k}_component")) for k in ("a", "b")}

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from peerbench.llm import ngram_join
 from peerbench.llm.ngram_join import Likeness, _bands, jaccard_components, part_values
 from tests.llm.corpus import SCHEMA, corpus, words
 
@@ -99,3 +100,20 @@ def test_small_sets_that_reach_the_similarity_share_a_part(percent):
                 larger = np.unique(larger >> np.uint64(8))
             a = np.sort(rng.permutation(larger)[: max(1, -(-len(larger) * percent // 100))])
             assert len(np.intersect1d(part_values(a, percent), part_values(larger, percent)))
+
+
+def test_copies_of_two_texts_are_joined_as_two_rows(spark, monkeypatch):
+    base = [f"w{i}" for i in range(100)]
+    near = base[:92] + [f"y{i}" for i in range(8)]  # 89 of 105 shingles in common, just below 0.85
+    docs = [(i, " ".join(base if i < 30 else near), None, None, 0) for i in range(60)]
+    most, keep = [], ngram_join.stored
+
+    def watched(df, label):
+        df = keep(df, label)
+        if label == "open":
+            most.extend(r["count"] for r in df.groupBy("part").count().collect())
+        return df
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    assert found(spark, docs, Likeness()) == brute(docs, Likeness())
+    assert most and max(most) == 2

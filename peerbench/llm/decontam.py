@@ -10,8 +10,9 @@ The windows are dealt into shards of at most ``shard_rows`` rows. One shard at a
 so the broadcast size is bounded whatever the size of the benchmark, and a larger benchmark costs more passes
 over the documents. Documents are never shuffled.
 
-Defined results: null or wordless texts have no words and no hits; items without an id or words are left out;
-repeated item rows count once; repeated documents are judged row by row; item ids are listed once each.
+Defined results: null or wordless texts have no words and no hits; items without words are left out; those
+without an id hit words but are neither counted nor listed; repeated item rows count once; repeated documents are
+judged row by row; item ids are listed once each.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def item_windows(items: DataFrame) -> DataFrame:
                 windows.append(b" ".join(words[at : at + WINDOW]))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(windows, pa.binary())], ["item_id", "window"])
 
-    named = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null")
+    named = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     return arrow_map(named, run, "item_id long, window binary").distinct()
 
 
@@ -99,8 +100,11 @@ def _shingles(windows: list[list[bytes]]) -> dict[int, list[tuple[np.ndarray, in
 def build_shard(rows: DataFrame, docs: DataFrame) -> Shard:
     """Index the (item_id, window) rows of a shard; shingle rarity is counted over all documents."""
     by_window: dict[bytes, list[int]] = {}
-    for item, window in rows.toPandas().itertuples(index=False):
-        by_window.setdefault(bytes(window), []).append(int(item))
+    got = rows.select("item_id", "window").toArrow()
+    for item, window in zip(got["item_id"].to_pylist(), got["window"].to_pylist()):
+        owners = by_window.setdefault(window, [])
+        if item is not None:
+            owners.append(item)
     windows = [w.split(b" ") for w in by_window]
     cuts = _shingles(windows)
     known = {size: np.unique(np.concatenate([s for s, _ in own])) for size, own in cuts.items()}

@@ -54,3 +54,10 @@ def test_empty_tables_and_clashing_names(spark):
 def test_very_long_text(spark):
     text = "word " * 200_000 + "the hidden passage of a test item that stands at the very end here"
     assert found(spark, [(1, text, None, None, 1)], [(3, text[-66:])])[0][2] == 14
+
+
+def test_items_without_an_id_hit_but_are_not_counted(spark):
+    big = (1 << 53) + 1
+    docs = [(1, "a passage of no known item", None, None, 1), (2, "one two and three four", None, None, 1)]
+    items = [(None, "no known item"), (None, "one two"), (big, "three four")]
+    assert found(spark, docs, items) == [(1, 6, 3, [], True), (2, 5, 4, [str(big)], True)]

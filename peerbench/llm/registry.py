@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import decontam, embeddings, language, linededup, mixing, ngram_join, quality, substring, surrogates, urls
+from peerbench.llm import decontam, embeddings, language, linededup, mixing, ngram_join, pieces, quality, substring, surrogates, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": urls.op8_url_filter,
     "op9_surrogates": surrogates.op9_surrogates,
     "op10_embedding_dedup": embeddings.op10_embedding_dedup,
+    "op12_pieces": pieces.op12_pieces,
 }
 
 SQL: dict[str, str] = {

@@ -450,13 +450,12 @@ with recursive byte_table as (
   from summed where f <> 0
 ), placed as (
   select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as place,
-    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
-    regexp_extract(text, '([^ 	-
-])[ 	-
-]*$', 1) as final from damaged
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final from damaged
+), compared as (
+  select *, row_number() over (partition by conv_id, role, text order by place) > 1 as again from placed
 ), judged as (
   select *, substr(role, 1, 1) as initial, case when final = '' then 'blank' when again then 'duplicate'
-    when final not in ('.', '!', '?') then 'truncated' end as fault from told_before
+    when final not in ('.', '!', '?') then 'truncated' end as fault from compared
 ), linked as (
   select *, cast(coalesce(fault = 'truncated', false) as int) as late, coalesce(fault in ('blank', 'duplicate'), false) as must,
     lag(initial) over (partition by conv_id order by place) || initial as pair from judged

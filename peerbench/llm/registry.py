@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from peerbench.llm import conversations, decontam, embeddings, language, linededup, mixing, ngram_join, pieces, quality, substring, surrogates, urls
+from peerbench.llm import collocations, conversations, decontam, embeddings, language, linededup, mixing, ngram_join, pieces, quality, substring, surrogates, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": urls.op8_url_filter,
     "op9_surrogates": surrogates.op9_surrogates,
     "op10_embedding_dedup": embeddings.op10_embedding_dedup,
+    "op11_collocations": collocations.op11_collocations,
     "op12_pieces": pieces.op12_pieces,
     "op13_conversations": conversations.op13_conversations,
 }
@@ -31,5 +32,6 @@ SQL: dict[str, str] = {
     "op3_substring_dedup": substring.SQL,
     "op5_mixing": mixing.SQL,
     "op6_ngram_join": ngram_join.SQL,
+    "op11_collocations": collocations.SQL,
     "op13_conversations": conversations.SQL,
 }

@@ -1,10 +1,12 @@
-"""Exact order statistics of groups of any size.
-
-``percentile`` keeps every distinct value of a group in one buffer and a ranking window sorts a
-whole group in one task. Here a mergeable sketch brackets the wanted rank first, one aggregation
-counts what lies below the bracket and the values inside it, and only the inside is ordered, in
-ranges of equal width. The sketch decides how much work is left, never what the answer is. A group
-of few rows is inside its bracket as a whole; otherwise groups of every size take the same path.
+"""Exact order statistics of groups of any size, from mergeable histograms.
+
+``percentile`` keeps every distinct value of a group in one buffer and a ranking window sorts a whole group in one task.
+Here one aggregation counts each group's values by bin: 128 bins for each doubling of the size, so that the bins of a
+group are bounded by the range of doubles and not by its rows, with the least and the greatest value of every bin. Adding
+up bins finds the one that holds a wanted rank. A bin of one value is the answer; otherwise its range is refined: a large one
+is cut into 4,096 parts of equal width, counted in the same way, until what is left is few enough to be ordered. All
+ranks of all groups are refined together, in one scan per level. Histograms of parts of the data add up, so they can be
+stored and carried on (``merge_histograms``).
 """
 
 from __future__ import annotations
@@ -14,32 +16,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from peerbench.session import materialize
+from peerbench.session import materialize, together
 
-ACCURACY = 10_000  # relative rank error of the sketch is 1 / ACCURACY
-PARTS = 1_024  # ranges that the inside of a bracket is ordered in
-MISSED = "order statistic fell outside its bracket"
+OCTAVE = 128  # bins for each doubling
+OFFSET = 200_000  # above the bins of all doubles, so that the sign of a bin is that of its values
+PARTS = 4_096  # ranges that a large bin is cut into at once
+FEW = 10_000  # rows of one bin that are ordered in one place
+MISSED = "order statistic fell outside its bin"
 
 
-def _short(accuracy: int) -> int:
-    """Groups of up to this many rows need no bracket (nor would it be sure to hold)."""
-    return 2 * accuracy
+def bin_of(value: Column) -> Column:
+    """An integer that does not fall when the value rises; NaN comes last."""
+    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(1025.0)) * OCTAVE) + OFFSET
+    return (
+        F.when(F.isnan(value), 2 * OFFSET).when(value > 0, size).when(value < 0, -size)
+        .when(value == 0, F.lit(0).cast("long")).cast("int"))
 
 
-def _sketch(rows, keys, value, fractions, accuracy, extras=()):
-    """Row count and a low and high cut around every wanted fraction, per group."""
-    margin = 4.0 / accuracy
-    points = []
-    for p in fractions:
-        points += [max(p - margin, 0.0), min(p + margin, 1.0)]
-    return materialize(
-        rows.groupBy(*keys).agg(
-            F.count(value).alias("_n"),
-            F.percentile_approx(F.col(value).cast("double"), points, accuracy).alias("_cuts"),
-            *extras,
-        ),
-        "sketch",
-    )
+def histogram(rows: DataFrame, keys: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
+    """keys, bin, n, low, high: number, least and greatest of the values per bin; nulls are a bin of no values."""
+    v = F.col(value).cast("double")
+    n = F.count("_v") if weight is None else F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")).otherwise(0))
+    return (
+        rows.select(*keys, v.alias("_v"), *([] if weight is None else [weight.alias("_w")])).withColumn("bin", bin_of(F.col("_v")))
+        .groupBy(*keys, "bin").agg(n.alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
+
+
+def merge_histograms(histograms: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Histograms of parts of the data as one."""
+    return histograms.groupBy(*keys, "bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -51,131 +56,151 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return left.join(other, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _bracketed_counts(rows, keys, value, sketch, fractions, accuracy):
-    """Counts per (group, slot, value) with the values below a bracket folded into one null row.
+def _targets(counts: DataFrame, keys: Sequence[str], ranks: Sequence[Column]) -> DataFrame:
+    """keys, _n, slots: for each rank (of ``_n`` rows, from 0) the bin that holds it and the rank within; null if none."""
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    placed = counts.select(
+        *keys, "n", "low", "high", F.sum("n").over(group).alias("_n"),
+        F.sum("n").over(group.orderBy(F.col("bin").asc_nulls_first())).alias("_upto"))
+    first = F.col("_upto") - F.col("n")
+    slots = [
+        F.max(F.when((first <= rank) & (rank < F.col("_upto")), F.struct("low", "high", (rank - first).alias("left"), "n")))
+        for rank in ranks]
+    return placed.groupBy(*keys).agg(F.max("_n").alias("_n"), F.array(*slots).alias("slots"))
+
+
+def _inside(slot: Column) -> Column:
+    return (slot["low"] < slot["high"]) & F.col("_v").between(slot["low"], slot["high"])
+
+
+def _refined(values: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
+    """The targets with every bin of more than ``FEW`` rows replaced by the part of it that holds the rank."""
+    number = targets.select(*keys, "_n", F.posexplode("slots").alias("_slot", "_s"))
+    large = number.where(f"_s.n > {FEW} and _s.low < _s.high")
+    wanted = large.groupBy(*keys).agg(F.collect_list(F.struct("_slot", "_s")).alias("_wanted"))  # one entry per rank at most
+    share = (F.col("_v") - F.col("_w._s.low")) / (F.col("_w._s.high") - F.col("_w._s.low"))
+    part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
+    met = _join(values, wanted, keys) if keys else values.withColumn("_wanted", wanted.select("_wanted").scalar())
+    counts = (
+        met.select(*keys, "_v", "_c", F.explode(F.filter("_wanted", lambda w: _inside(w["_s"]))).alias("_w"))
+        .select(*keys, F.col("_w._slot").alias("_slot"), F.col("_w._s.left").alias("_left"), part.alias("bin"), "_v", "_c")
+        .groupBy(*keys, "_slot", "_left", "bin").agg(F.sum("_c").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
+    found = _targets(counts, [*keys, "_slot", "_left"], [F.col("_left")])
+    finer = found.select(*keys, "_slot", F.get("slots", F.lit(0)).alias("_new"))
+    every = _join(number, finer, [*keys, "_slot"], "left")
+    return every.groupBy(*keys).agg(
+        F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.struct("_slot", F.coalesce("_new", "_s").alias("_s")))).alias("_all")
+    ).select(*keys, "_n", F.transform("_all", lambda a: a["_s"]).alias("slots"))
+
+
+def order_statistics(
+    rows: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column],
+    counts: DataFrame | None = None, weight: Column | None = None,
+) -> DataFrame:
+    """Per group ``_n`` (its values that are not null) and per name a struct of the value at that rank.
 
-    ``_upto`` is the number of rows of the group up to and including the value. It is summed within
-    ranges of equal width first, so that no task orders the whole bracket of a large group.
+    A rank is an expression of ``_n`` that counts from 0; one that no row has gives null. The struct holds ``value``,
+    ``skip`` (how many equal values come before the rank) and ``ties`` (how many there are). ``counts`` is a histogram that
+    is known already; ``weight`` says how often a row counts (a whole number).
     """
-    small = F.col("_n") <= _short(accuracy)
-    slots = F.array(*[
-        F.struct(
-            F.lit(i).alias("slot"),
-            F.when(~small, F.col("_cuts")[2 * i]).alias("low"),
-            F.when(~small, F.col("_cuts")[2 * i + 1]).alias("high"),
-        )
-        for i, _ in enumerate(fractions)
-    ])
-    bounds = sketch.select(*keys, "_n", slots.alias("_slots"))
-    values = rows.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    if keys:
-        probed = _join(values, bounds, keys)
-    else:
-        one = bounds.select(F.struct("_n", "_slots")).scalar()
-        probed = values.select("_v", one["_n"].alias("_n"), one["_slots"].alias("_slots"))
-    inside = F.col("_s.low").isNull() | (F.col("_v") >= F.col("_s.low"))
-    share = (F.col("_v") - F.col("_s.low")) / F.nullif(F.col("_s.high") - F.col("_s.low"), F.lit(0.0))
-    part = F.when(inside, F.coalesce(F.least(F.floor(share * PARTS), F.lit(PARTS - 1)), F.lit(0))).otherwise(-1)
-    counted = (
-        probed.select(*keys, "_n", "_v", F.explode("_slots").alias("_s"))
-        .filter("_s.high is null or _v <= _s.high")
-        .select(*keys, "_n", F.col("_s.slot").alias("_slot"), part.cast("int").alias("_part"), F.when(inside, F.col("_v")).alias("_x"))
-        .groupBy(*keys, "_n", "_slot", "_part", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    within = Window.partitionBy(*keys, "_slot", "_part").orderBy(F.col("_x").asc_nulls_first())
-    counted = counted.withColumn("_upto", F.sum("_c").over(within))
-    earlier = Window.partitionBy(*keys, "_slot").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        counted.groupBy(*keys, "_slot", "_part").agg(F.sum("_c").alias("_rows"))
-        .select(*keys, "_slot", "_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
-    )
-    placed = _join(counted, parts, [*keys, "_slot", "_part"])
-    return placed.withColumn("_upto", F.col("_upto") + F.col("_before")).drop("_before", "_part")
-
-
-def _holds(rank: Column) -> Column:
-    """Whether the 0-based rank falls on the rows of this value."""
-    return (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
+    keys = list(keys)
+    values = rows.select(*keys, F.col(value).cast("double").alias("_v"), (F.lit(1) if weight is None else weight).cast("long").alias("_c")).where("_v is not null")
+    counts = histogram(rows, keys, value, weight) if counts is None else counts
+    targets = materialize(_targets(counts, keys, list(ranks.values())), "rank-bins")
+    largest = F.max(F.array_max(F.transform("slots", lambda s: F.when(s["low"] < s["high"], s["n"]))))
+    while (size := targets.agg(largest).first()[0]) is not None and size > FEW:
+        targets = materialize(_refined(values, keys, targets), "rank-bins")
+
+    def slot(i: int) -> Column:
+        return F.get("slots", F.lit(i))
+
+    if size is None:  # every bin has one value
+        picks = [F.when(slot(i).isNotNull(), F.struct(slot(i)["low"].alias("value"), slot(i)["left"].alias("skip"), slot(i)["n"].alias("ties"))) for i in range(len(ranks))]
+        return targets.select(*keys, "_n", *[p.alias(name) for p, name in zip(picks, ranks)])
+    # the rows of the last bins, FEW per rank at most, are ordered per group
+    bounds = targets.select(*keys, "slots")
+    met = _join(values, bounds, keys) if keys else values.withColumn("slots", bounds.select("slots").scalar())
+    few = met.where(F.exists("slots", _inside)).select(*keys, "slots", "_v", "_c")
+    few = few.union(targets.select(*keys, "slots", F.lit(None).cast("double"), F.col("_n")))
+    lists = [F.array_sort(F.collect_list(F.when(_inside(slot(i)), F.struct("_v", "_c")))).alias(f"_l{i}") for i in range(len(ranks))]
+    ordered = few.groupBy(*keys).agg(F.max(F.when(F.col("_v").isNull(), F.col("_c"))).alias("_n"), F.first("slots").alias("slots"), *lists)
+    return ordered.select(*keys, "_n", *[_picked(f"_l{i}", slot(i)).alias(name) for i, name in enumerate(ranks)])
+
+
+def _picked(ordered: str, slot: Column) -> Column:
+    """The value with the rank ``left`` among ordered (value, count) pairs."""
+    left = slot["left"]
+    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast("double").alias("value"))
+    reached = F.aggregate(ordered, start, lambda a, x: F.struct(
+        (a["upto"] + x["_c"]).alias("upto"),
+        F.when(a["value"].isNotNull(), a["value"]).when(left < a["upto"] + x["_c"], x["_v"]).alias("value")))["value"]
+    value = F.when(slot["low"] == slot["high"], slot["low"]).otherwise(F.coalesce(reached, F.raise_error(F.lit(MISSED)).cast("double")))
+
+    def total(keep) -> Column:
+        return F.aggregate(F.filter(ordered, keep), F.lit(0).cast("long"), lambda a, x: a + x["_c"])
+
+    one = slot["low"] == slot["high"]
+    return F.when(slot.isNotNull(), F.transform(F.array(value), lambda v: F.struct(
+        v.alias("value"),
+        F.when(one, left).otherwise(left - total(lambda x: x["_v"] < v)).alias("skip"),
+        F.when(one, slot["n"]).otherwise(total(lambda x: x["_v"] == v)).alias("ties")))[0])
 
 
 def exact_quantiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    fractions: Mapping[str, float],
-    extras: Sequence[Column] = (),
-    accuracy: int = ACCURACY,
+    rows: DataFrame, keys: Sequence[str], value: str, fractions: Mapping[str, float], extras: Sequence[Column] = (),
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one column per name in ``fractions``.
 
-    ``extras`` are further aggregates computed in the first pass. Rows with a null key are left out.
+    ``extras`` are further aggregates of the groups. Rows with a null key are left out.
     """
     keys = list(keys)
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
-    sketch = _sketch(rows, keys, value, list(fractions.values()), accuracy, extras)
-    found = _selected(rows, keys, value, fractions, sketch, accuracy)
-    rest = sketch.drop("_n", "_cuts")
+    position = {name: F.greatest(F.col("_n") - 1, F.lit(0)) * F.lit(float(p)) for name, p in fractions.items()}
+    ranks = {f"{side}_{name}": cut(place) for name, place in position.items() for side, cut in (("_lo", F.floor), ("_hi", F.ceil))}
+
+    def search() -> DataFrame:
+        return order_statistics(rows, keys, value, ranks, counts)
+
+    def other() -> DataFrame:
+        return materialize(rows.groupBy(*keys).agg(*extras), "extras")
+
+    found, *rest = together(rows.sparkSession, search, *([other] if extras else []))
+    quantiles = found.select(*keys, *[
+        (F.col(f"_lo_{name}.value") + (F.col(f"_hi_{name}.value") - F.col(f"_lo_{name}.value")) * (place - F.floor(place))).alias(name)
+        for name, place in position.items()])
+    if not rest:
+        return quantiles
     if keys:
-        return rest.join(found, keys, "left")
-    names = rest.columns
-    if not names:
-        return found
-    one = rest.select(F.struct(*names)).scalar()
-    return found.select(*[one[n].alias(n) for n in names], *found.columns)
-
-
-def _selected(rows, keys, value, fractions, sketch, accuracy) -> DataFrame:
-    """The quantiles picked from bracketed counts."""
-    counted = _bracketed_counts(rows, keys, value, sketch, list(fractions), accuracy)
-    picks = []
-    for i, p in enumerate(fractions.values()):
-        position = (F.col("_n") - 1) * F.lit(p)
-        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            picks.append(F.max(F.when((F.col("_slot") == i) & _holds(rank), F.col("_x"))).alias(f"_{side}{i}"))
-    picked = counted.groupBy(*keys).agg(F.max("_n").alias("_m"), *picks)
-
-    columns = []
-    for i, (name, p) in enumerate(fractions.items()):
-        position = (F.col("_m") - 1) * F.lit(p)
-        low, high = (
-            F.coalesce(F.col(f"_{side}{i}"), F.raise_error(F.lit(MISSED)).cast("double")) for side in ("lo", "hi")
-        )
-        columns.append(F.when(F.col("_m") > 0, low + (high - low) * (position - F.floor(position))).alias(name))
-    return picked.select(*keys, *columns)
+        return rest[0].join(quantiles, keys, "left")
+    one = rest[0].select(F.struct(*rest[0].columns)).scalar()
+    return quantiles.select(*[one[c].alias(c) for c in rest[0].columns], *quantiles.columns)
+
+
+def ntile_cuts(
+    rows: DataFrame, group: str, value: str, tiles: int, counts: DataFrame | None = None, weight: Column | None = None,
+) -> DataFrame:
+    """group, _slot, _cut, _skip, _ties: the last row of every tile but the greatest, as value and place among its equals."""
+    ranks = {}
+    for j in range(1, tiles):
+        ranks[f"_c{j - 1}"] = j * F.floor(F.col("_n") / tiles) + F.least(F.lit(j), F.col("_n") % tiles) - 1
+    found = order_statistics(rows, [group], value, ranks, counts, weight)
+    cuts = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), F.col(f"_c{j}").alias("c")) for j in range(tiles - 1)]))
+    return found.select(group, cuts.alias("_x")).where("_x.c is not null").select(
+        group, F.col("_x.slot").alias("_slot"), F.col("_x.c.value").alias("_cut"), F.col("_x.c.skip").alias("_skip"), F.col("_x.c.ties").alias("_ties"))
 
 
 def exact_ntile(
-    rows: DataFrame,
-    group: str,
-    value: str,
-    tie: str,
-    tiles: int,
-    name: str,
-    accuracy: int = ACCURACY,
+    rows: DataFrame, group: str, value: str, tie: str, tiles: int, name: str, cuts: DataFrame | None = None,
 ) -> DataFrame:
     """``ntile(tiles)`` of every row within its group ordered by ``value`` and then ``tie``.
 
-    Only the ``tiles - 1`` cut rows of each group are looked for; every row is then placed by
-    comparing it with them. ``tie`` is an evenly spread text, unique within the group, such as an
-    md5: a value shared by many rows is narrowed down by the first digits of it. Values must not
-    be null; null groups are a group.
+    Only the ``tiles - 1`` cut rows of each group are looked for (or given, see ``ntile_cuts``); every row is then
+    placed by comparing it with them. ``tie`` is an evenly spread text, unique within the group, such as an md5: a value
+    shared by many rows is narrowed down by the first digits of it. Values must not be null; null groups are a group.
     """
-    fractions = [j / tiles for j in range(1, tiles)]
-    sketch = _sketch(rows, [group], value, fractions, accuracy)
-    counted = _bracketed_counts(rows, [group], value, sketch, fractions, accuracy)
-
-    tile = F.col("_slot") + 1
-    last = tile * F.floor(F.col("_n") / tiles) + F.least(tile, F.col("_n") % tiles) - 1
-    cuts = materialize(
-        counted.filter(_holds(last)).select(
-            group, "_slot",
-            F.coalesce("_x", F.raise_error(F.lit(MISSED)).cast("double")).alias("_cut"),
-            (last - (F.col("_upto") - F.col("_c"))).alias("_skip"),
-            F.col("_c").alias("_ties"),
-        ),
-        "cuts",
-    )
+    cuts = materialize(ntile_cuts(rows, group, value, tiles) if cuts is None else cuts, "cuts")
     split = cuts.filter(F.col("_skip") + 1 < F.col("_ties"))
     tied = not split.isEmpty()
     if tied:
@@ -199,11 +224,12 @@ def _tie_cuts(rows, group, value, tie, split, digits: int = 3):
         _join(rows.select(group, F.col(value).cast("double").alias("_cut"), F.col(tie).alias("_tie")), split, [group, "_cut"])
         .withColumn("_head", F.substring("_tie", 1, digits))
     )
+    reached = F.col("_upto") - F.col("_c")
     heads = (
         ties.groupBy(group, "_slot", "_skip", "_head").agg(F.count(F.lit(1)).alias("_c"))
         .withColumn("_upto", F.sum("_c").over(Window.partitionBy(group, "_slot").orderBy("_head")))
-        .filter(_holds(F.col("_skip")))
-        .select(group, "_slot", "_head", (F.col("_skip") - (F.col("_upto") - F.col("_c"))).alias("_left"))
+        .filter((reached <= F.col("_skip")) & (F.col("_skip") < F.col("_upto")))
+        .select(group, "_slot", "_head", (F.col("_skip") - reached).alias("_left"))
     )
     order = Window.partitionBy(group, "_slot").orderBy("_tie")
     return (

@@ -2,8 +2,8 @@
 
 Phrases of one to four words are counted per language within pieces of text between punctuation marks and line breaks. A
 sample of the documents proposes phrases (seen there at least ``SEEN`` times; the sample is a fixed share of the rows, so it
-grows with them). A full pass counts the proposed phrases by their words, and in the same pass the negative border: phrases
-that were not proposed though both of their shorter parts were. The border is counted under 64-bit hashes, which can only
+grows with them). A full pass counts the proposed phrases by their words, and with it the negative border: phrases
+that were not proposed though both of their shorter parts were. The border is counted under hashes, which can only
 count too much: what stays below the threshold there is not frequent. A border phrase that reaches it is a failure of
 the sample. The next pass counts failures by their words, and the border that they open up, and so on until a pass
 has no failures (five passes at most, as each one's failures are longer than those before). Then every frequent phrase
@@ -20,7 +20,7 @@ pieces; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,9 @@ LONGEST, SUPPORT, TOP = 4, 30, 2000
 #: One document row in so many is in the sample; a phrase seen twice there is proposed.
 SAMPLE, SEEN = 8, 2
 BITS = 26
-SLICE = 2 << 20
+SLICE = 1 << 20
+#: Border hashes that a task holds before it packs them.
+HELD = 3_000_000
 COVERED = 80
 
 SEPARATOR = np.zeros(256, bool)
@@ -59,10 +61,11 @@ class Phrases:
         """The words of the phrases that begin at the given words, with single spaces between."""
         last = at + length - 1
         sizes = self.start[last] + self.size[last] - self.start[at]
-        offsets = np.zeros(len(at) + 1, np.int64)
+        offsets = np.zeros(len(at) + 1, np.int32)
         np.cumsum(sizes, out=offsets[1:])
-        places = np.repeat(self.start[at] - offsets[:-1], sizes) + np.arange(offsets[-1])
-        return pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(self.text[places]))).cast(pa.string())
+        places = np.repeat((self.start[at] - offsets[:-1]).astype(np.int32), sizes)
+        places += np.arange(offsets[-1], dtype=np.int32)
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(self.text[places]))
 
 
 def phrases_of(text: pa.Array, lang: np.ndarray, lang_hash: np.ndarray) -> Phrases:
@@ -117,22 +120,74 @@ def _languages(column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
 #: In decimals, as the product may pass 64 bits.
 SCORE = "(cast(2000000 as decimal(7, 0)) * cast(a as decimal(19, 0))) div (cast(l as decimal(19, 0)) + cast(r as decimal(19, 0)))"
 
-_COUNTS = "h long, lang string, phrase string, n long"
-
-
-def _record(h: np.ndarray, n: np.ndarray, lang: pa.Array | None = None, phrase: pa.Array | None = None) -> pa.RecordBatch:
-    nothing = pa.nulls(len(h), pa.string())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h.view(np.int64)), nothing if lang is None else lang, nothing if phrase is None else phrase, pa.array(n.astype(np.int64))], ["h", "lang", "phrase", "n"])
-
-
-def _sampled(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Hashes of all phrases of a batch with their numbers."""
-    _, lang, lang_hash = _languages(batch.column("lang"))
-    for lo, hi, text in _portions(batch.column("text")):
-        found = phrases_of(text, lang[lo:hi], lang_hash)
-        h, n = np.unique(np.concatenate([h[t] for h, t in zip(found.hashes, found.there)]), return_counts=True)
-        yield _record(h, n)
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], Phrases]]:
+    """The names of the languages and the phrases of every portion of text."""
+    for batch in batches:
+        names, lang, lang_hash = _languages(batch.column("lang"))
+        for lo, hi, text in _portions(batch.column("text")):
+            yield names, phrases_of(text, lang[lo:hi], lang_hash)
+
+
+def heavy(rows: DataFrame, hashes_of: Callable[[Phrases], list[np.ndarray]], support: int) -> DataFrame:
+    """The column h: leading bits of the hashes that ``hashes_of`` gives ``support`` times or more over all rows.
+
+    A task sorts its hashes and packs them by bucket with their numbers (cut at ``support``, which is enough); a bucket's
+    packs are added up together. Beyond the bucket 32 bits of a hash are kept, so that some more may be found heavy.
+    """
+    # a few buckets per shuffle partition, 1,024 at least
+    bits = max(10, (8 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    below = np.uint64(64 - bits - 32)
+    number = np.dtype(np.uint8 if support < 256 else np.uint32)
+
+    def pack(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        h, n = np.unique(np.concatenate(held) >> below, return_counts=True)
+        if not len(h):
+            return
+        n = np.minimum(n, support).astype(number)
+        bucket = (h >> np.uint64(32)).astype(np.int32)
+        begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+        ends = [*begins[1:], len(h)]
+        low = h.astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(bucket[begins]), pa.array([low[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+            pa.array([n[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary())], ["bucket", "hashes", "numbers"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for _, found in _parts(batches):
+            new = hashes_of(found)
+            held += new
+            size += sum(map(len, new))
+            if size >= HELD:
+                yield from pack(held)
+                held, size = [], 0
+        if size:
+            yield from pack(held)
+
+    def found(bucket: int, hashes: list[bytes], numbers: list[bytes]) -> pa.RecordBatch:
+        low, n = np.frombuffer(b"".join(hashes), np.uint32), np.frombuffer(b"".join(numbers), number)
+        order = np.argsort(low, kind="stable")
+        low, n = low[order], n[order]
+        begins = np.flatnonzero(np.diff(low.astype(np.int64), prepend=-1))
+        often = np.add.reduceat(n.astype(np.int64), begins) >= support
+        h = (np.uint64(bucket) << np.uint64(32) | low[begins[often]].astype(np.uint64)) << below
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, hashes, numbers = None, [], []
+        for batch in batches:
+            for b, h, n in zip(*[column.to_pylist() for column in batch.columns]):
+                if b != bucket and hashes:
+                    yield found(bucket, hashes, numbers)
+                    hashes, numbers = [], []
+                bucket = b
+                hashes.append(h)
+                numbers.append(n)
+        if hashes:
+            yield found(bucket, hashes, numbers)
+
+    packs = rows.select("text", "lang").mapInArrow(run, "bucket int, hashes binary, numbers binary")
+    return packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "h long")
 
 
 @dataclass(frozen=True)
@@ -152,35 +207,56 @@ class Pass:
         return named, there & parts[: len(h)] & parts[1 : len(h) + 1] & ~named
 
 
-def _counting(now: Pass, before: Sequence[Pass]):
-    """A function of a batch: counts of this pass, without what the passes before it have counted."""
+def border(now: Pass, before: Sequence[Pass]) -> Callable[[Phrases], list[np.ndarray]]:
+    """Hashes of the phrases on the border of a pass, without what the passes before it have counted."""
 
-    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        names, lang, lang_hash = _languages(batch.column("lang"))
-        name_column = pa.array(names, pa.string())
-        for lo, hi, text in _portions(batch.column("text")):
-            found, border = phrases_of(text, lang[lo:hi], lang_hash), []
-            if not before:  # an empty phrase stands for the number of all words
+    def hashes(found: Phrases) -> list[np.ndarray]:
+        out = []
+        for length in range(1, LONGEST + 1):
+            _, open_ = now.counts(found, length)
+            for earlier in before:
+                if open_.any():
+                    done, seen = earlier.counts(found, length)
+                    open_ &= ~(done | seen)
+            out.append(found.hashes[length - 1][open_])
+        return out
+
+    return hashes
+
+
+def _hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Hashes of phrases that are the whole text of their row."""
+    _, lang, lang_hash = _languages(batch.column("lang"))
+    for lo, hi in slices(batch.column("phrase"), SLICE):
+        words = cut(batch.column("phrase").slice(lo, hi - lo), WORD)
+        own = mix(words.hashes() ^ lang_hash[lang[lo:hi][np.repeat(np.arange(hi - lo), words.counts)]])
+        out = np.zeros(hi - lo, np.uint64)
+        for length in range(1, LONGEST + 1):
+            rows = np.flatnonzero(words.counts == length)
+            if len(rows):
+                out[rows] = (own if length == 1 else grams(own, length))[words.first[rows]]
+        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
+
+
+def by_words(rows: DataFrame, named: Bits, totals: bool) -> DataFrame:
+    """lang, phrase, n of the phrases in ``named``; with ``totals`` an empty phrase stands for all words of a language."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, found in _parts(batches):
+            name_column = pa.array(names, pa.string())
+            if totals:
                 total = np.bincount(found.lang, minlength=len(names))
-                yield _record(np.zeros(len(names), np.uint64), total, name_column, pa.array([""] * len(names)))
+                yield pa.RecordBatch.from_arrays([name_column, pa.array([""] * len(names)), pa.array(total)], ["lang", "phrase", "n"])
             for length in range(1, LONGEST + 1):
                 h = found.hashes[length - 1]
-                named, open_ = now.counts(found, length)
-                for earlier in before:
-                    if open_.any():
-                        done, seen = earlier.counts(found, length)
-                        open_ &= ~(done | seen)
-                border.append(h[open_])
-                at = np.flatnonzero(named)
+                at = np.flatnonzero(found.there[length - 1] & named.have(h))
                 if len(at):
                     first, n = _equal(h[at], grams(found.hashes[0], length, 1)[at])
                     at = at[first]
-                    yield _record(h[at], n, name_column.take(pa.array(found.lang[at])), found.phrases(at, length))
-            h, n = np.unique(np.concatenate(border), return_counts=True)
-            if len(h):
-                yield _record(h, n)
+                    yield pa.RecordBatch.from_arrays(
+                        [name_column.take(pa.array(found.lang[at])), found.phrases(at, length), pa.array(n)], ["lang", "phrase", "n"])
 
-    return run
+    return rows.select("text", "lang").mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _equal(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,26 +272,22 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, sample: int = SAMP
     """lang, phrase, length, n for every phrase of up to four words that occurs ``support`` times; length 0: all words of a language."""
     drawn = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns]), F.lit(sample)) == 0
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), drawn.alias("drawn"))
-    proposed = stored(arrow_map(rows.where("drawn"), _sampled, _COUNTS).groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= seen).select("h"), "proposed")
-    bits = Bits(proposed, "h", BITS)
-    passes, found = [Pass(bits, bits)], []
+    everything = lambda found: [h[t] for h, t in zip(found.hashes, found.there)]
+    bits = Bits(stored(heavy(rows.where("drawn"), everything, seen), "proposed"), "h", BITS)
+    passes, known = [Pass(bits, bits)], None
     while True:
-        counted = arrow_map(rows.select("text", "lang"), _counting(passes[-1], passes[:-1]), _COUNTS).groupBy("h", "lang", "phrase").agg(F.sum("n").alias("n"))
-        counted = stored(counted.where((F.col("n") >= support) | (F.col("phrase") == "")), "phrases")
-        found.append(counted)
-        failed = counted.where("phrase is null").select("h")
-        if failed.isEmpty():
+        now, before = passes[-1], passes[:-1]
+        counts = by_words(rows, now.named, not before).where((F.col("n") >= support) | (F.col("phrase") == ""))
+        failures = heavy(rows, border(now, before), support)
+        counts, failures = stored(counts, "phrases"), stored(failures, "failures")
+        known = counts if known is None else known.union(counts)
+        if failures.isEmpty():
             break
-        known = failed
-        for one in found:
-            known = known.union(one.where("phrase <> ''").select("h"))
-        passes.append(Pass(Bits(failed, "h", BITS), Bits(known, "h", BITS)))
-    named = found[0]
-    for one in found[1:]:
-        named = named.union(one)
+        hashes = arrow_map(known.where("phrase <> ''").select("lang", "phrase"), _hashed, "h long")
+        passes.append(Pass(Bits(failures, "h", BITS), Bits(hashes.union(failures), "h", BITS)))
     length = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1)))
     # a phrase that two passes let through has the same number in both
-    return stored(named.where("phrase is not null").groupBy("lang", "phrase").agg(F.max("n").alias("n")).select("lang", "phrase", length.alias("length"), "n"), "frequent")
+    return stored(known.groupBy("lang", "phrase").agg(F.max("n").alias("n")).select("lang", "phrase", length.alias("length"), "n"), "frequent")
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, covered: int = COVERED, sample: int = SAMPLE, seen: int = SEEN) -> DataFrame:

@@ -56,7 +56,8 @@ class Star:
         return replace(self, segments=segments)
 
 
-def _conform(df: DataFrame, name: str) -> DataFrame:
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a star table in its pinned types."""
     schema = star_schemas(df.schema["entity_id"].dataType)[name]
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
 
@@ -75,8 +76,8 @@ def star_tables(scored: DataFrame) -> Star:
         .agg(F.count_distinct("item_code").alias("item_diversity"), F.avg("net_z").alias("avg_z"))
         .withColumns({c: F.lit(None) for c in ("cluster_id", "cluster_name", "performance_tier")})
     )
-    return Star(_conform(entities, "entities"), _conform(scored, "items"),
-                _conform(scored, "measures"), _conform(segments, "segments"))
+    return Star(conform(entities, "entities"), conform(scored, "items"),
+                conform(scored, "measures"), conform(segments, "segments"))
 
 
 TABLES = ("entities", "items", "measures", "segments")

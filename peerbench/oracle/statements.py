@@ -164,7 +164,7 @@ QUERIES: dict[str, str] = {
     # sets and samples
     "union_batches": "SELECT peer_group, count(*) AS n FROM (SELECT peer_group FROM measures JOIN entities USING (entity_id) WHERE is_outlier = 1 UNION ALL SELECT peer_group FROM measures JOIN entities USING (entity_id) WHERE is_outlier = 0) GROUP BY peer_group",
     "list_peers": "SELECT DISTINCT peer_group FROM entities",
-    "expected_minus_actual": "SELECT n_name AS place FROM nation WHERE n_name NOT IN (SELECT place FROM entities WHERE entity_id % 89 = 0)",
+    "expected_minus_actual": "SELECT entity_id FROM entities WHERE entity_id NOT IN (SELECT entity_id FROM measures WHERE is_outlier = 1)",
     "sample_points": f"SELECT {LINE_KEY} FROM measures ORDER BY md5('42|' || CAST(entity_id AS VARCHAR) || '|' || item_code), entity_id, item_code LIMIT 500",
     # quality
     "dq_report": _report(),
@@ -223,3 +223,7 @@ QUERIES: dict[str, str] = {
     "prompt_context": "SELECT 'PEER VARIATION' AS section, concat_ws(' | ', peer_group, CAST(entity_count AS VARCHAR), printf('%.2f', avg_net), printf('%.2f', variation_ratio)) AS line FROM (SELECT * FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 5) UNION ALL SELECT 'GEOGRAPHIC', concat_ws(' | ', place, region, peer_group, printf('%.2f', place_avg)) FROM (SELECT * FROM geographic ORDER BY place_avg DESC, place, region, peer_group LIMIT 5) UNION ALL SELECT 'OUTLIERS', concat_ws(' | ', entity_name, peer_group, place, printf('%.2f', net), printf('%.2f', z_score)) FROM (SELECT * FROM listed " + EXTREME_ORDER + " LIMIT 5)",
     "prompt_context_10": "SELECT 'PEER VARIATION' AS section, concat_ws(' | ', peer_group, CAST(entity_count AS VARCHAR), printf('%.2f', avg_net), printf('%.2f', variation_ratio)) AS line FROM (SELECT * FROM variation ORDER BY variation_ratio DESC, peer_group LIMIT 10) UNION ALL SELECT 'GEOGRAPHIC', concat_ws(' | ', place, region, peer_group, printf('%.2f', place_avg)) FROM (SELECT * FROM geographic ORDER BY place_avg DESC, place, region, peer_group LIMIT 10) UNION ALL SELECT 'OUTLIERS', concat_ws(' | ', entity_name, peer_group, place, printf('%.2f', net), printf('%.2f', z_score)) FROM (SELECT * FROM listed " + EXTREME_ORDER + " LIMIT 10)",
 }
+
+# a store loaded in batches equals one load
+QUERIES |= {f"refresh_{name}": QUERIES[f"{kind}_{name}"] for kind, name in (
+    ("star", "entities"), ("star", "measures"), ("star", "segments"), ("feat", "peer_stats"))}

@@ -8,7 +8,7 @@ from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.quality import passed, quality_report
 from peerbench.operators.star import Star, current_star, publish_star, star_tables
-from peerbench.plans import facts, queries, segments
+from peerbench.plans import facts, queries, refresh, segments
 from peerbench.roles import Roles
 from peerbench.session import materialize, together
 from peerbench.sources.csvs import read_raw_csv, require_columns, write_csv, write_text
@@ -46,6 +46,20 @@ def load_raw(
     return current_star(spark, star_path), report
 
 
+def add_raw(
+    spark: SparkSession, raw_path: str, store_path: str, name: str | None = None, roles: Roles = Roles(),
+    places: DataFrame | None = None, multi_line: bool = False,
+) -> bool:
+    """Add a raw file to a store (``plans.refresh``) without reading what is in it; False if ``name`` is in it already.
+
+    The name is the path unless it is given. ``refresh.Store(spark, store_path).star()`` is the star of all files.
+    """
+    raw = read_raw_csv(spark, raw_path, multi_line)
+    raw = require_columns(raw, [c for role, c in vars(roles).items() if role != "age"])
+    return refresh.load_batch(
+        spark, store_path, clean(roles.rename(raw)), state_regions(spark) if places is None else places, raw_path if name is None else name)
+
+
 def save_results(star: Star, path: str) -> list[str]:
     """One CSV folder per query."""
     def job(name: str, frame: DataFrame):

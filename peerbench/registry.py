@@ -141,6 +141,12 @@ QUERIES: dict[str, Query] = {
     "star_segments": lambda w: _rounded(w.star.segments, ["avg_z"], 4).select("entity_id", "item_diversity", "avg_z"),
     "seg_update": lambda w: w.segmented_star.segments,
     "seg_update_fixed": lambda w: _rounded(w.labelled_star.segments, ["avg_z"], 4),
+    # the same tables from a store that has been loaded in batches
+    "refresh_entities": lambda w: w.store.star().entities,
+    "refresh_measures": lambda w: _rounded(
+        w.store.star().measures, ["gross", "net", "net_per_unit", "gross_net_ratio", "net_z"], 4),
+    "refresh_segments": lambda w: _rounded(w.store.star().segments, ["avg_z"], 4).select("entity_id", "item_diversity", "avg_z"),
+    "refresh_peer_stats": lambda w: _rounded(w.store.peer_stats(), ["peer_mean", "peer_sd", "peer_p75"], 4),
     # cleaning and features
     "clean_drop_critical": lambda w: _dirty(w).transform(clean.null_tokens).transform(clean.drop_critical)
     .select(*KEY, "peer_group"),
@@ -205,7 +211,7 @@ QUERIES: dict[str, Query] = {
     "union_batches": _union,
     "list_peers": lambda w: profiles.peers(w.star),
     "expected_minus_actual": lambda w: quality.missing_values(
-        w.places.select("place"), w.star.entities.filter("entity_id % 89 = 0").select("place")),
+        w.star.entities.select("entity_id"), w.star.measures.filter("is_outlier = 1").select("entity_id")),
     "sample_points": lambda w: fixed_sample(w.star.measures.select(*KEY), KEY, 500, 42),
     # quality
     "dq_report": _report,

@@ -5,12 +5,13 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.star import Star, read_star, star_tables, write_star
-from peerbench.plans import segments
+from peerbench.plans import refresh, segments
 from peerbench.session import fresh_path, materialize
 from peerbench.sources.tables import event_lines, place_regions, service_lines
 from peerbench.streaming.jobs import publish_stats
@@ -63,6 +64,15 @@ class Workspace:
         star = star_tables(self.scored)
         return read_star(self.spark, write_star(star, fresh_path(self.spark, "star")), T.LongType())
 
+    @cached_property
+    def store(self) -> refresh.Store:
+        """The cleaned lines loaded in three batches, by item."""
+        path = fresh_path(self.spark, "store")
+        for k in range(3):
+            part = self.cleaned.where(F.pmod(F.crc32("item_code"), F.lit(3)) == k)
+            refresh.load_batch(self.spark, path, part, self.places, f"batch {k}")
+        return refresh.Store(self.spark, path)
+
     @cached_property
     def features(self) -> DataFrame:
         """Clustering features per entity."""

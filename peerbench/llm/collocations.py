@@ -2,12 +2,11 @@
 
 Phrases of one to four words are counted per language within pieces of text between punctuation marks and line breaks. A
 sample of the documents proposes phrases (seen there at least ``SEEN`` times; the sample is a fixed share of the rows, so it
-grows with them). A full pass counts the proposed phrases by their words, and with it the negative border: phrases
-that were not proposed though both of their shorter parts were. The border is counted under hashes, which can only
-count too much: what stays below the threshold there is not frequent. A border phrase that reaches it is a failure of
-the sample. The next pass counts failures by their words, and the border that they open up, and so on until a pass
-has no failures (five passes at most, as each one's failures are longer than those before). Then every frequent phrase
-has been counted exactly.
+grows with them). A full pass counts the proposed phrases and the negative border, the phrases that were not proposed
+though both of their shorter parts were. It counts under hashes, which can only count too much: what stays below the
+threshold is not frequent. Border phrases that reach it are failures of the sample. While there are some, the next pass
+counts the phrases that they bring within reach (four passes at most, as these are longer each time). At the end
+the phrases that reached the threshold are counted exactly, by their words.
 
 What is proposed or known goes to the tasks as bitmaps of fixed size, which pass some phrases more than they hold: those are
 counted, too, and change nothing. Equal phrases are added up within a slice of text (told apart by 128 bits there), then
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from peerbench.llm.frames import Bits, arrow_map, stored, table
+from peerbench.llm.frames import Bits, stored, table
 from peerbench.llm.tokens import cut, grams, mix, slices
 
 LONGEST, SUPPORT, TOP = 4, 30, 2000
@@ -190,63 +189,32 @@ def heavy(rows: DataFrame, hashes_of: Callable[[Phrases], list[np.ndarray]], sup
     return packs.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "h long")
 
 
-@dataclass(frozen=True)
-class Pass:
-    """What one pass counts: phrases in ``named`` by their words, and phrases with both shorter parts in ``known`` by hash."""
-
-    named: Bits
-    known: Bits
-
-    def counts(self, found: Phrases, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Per word, whether the phrase from there on is counted by its words, and whether it is on the border."""
-        h, there = found.hashes[length - 1], found.there[length - 1]
-        named = there & self.named.have(h)
-        if length == 1:
-            return named, there & ~named
-        parts = self.known.have(found.hashes[length - 2])
-        return named, there & parts[: len(h)] & parts[1 : len(h) + 1] & ~named
-
-
-def border(now: Pass, before: Sequence[Pass]) -> Callable[[Phrases], list[np.ndarray]]:
-    """Hashes of the phrases on the border of a pass, without what the passes before it have counted."""
+def within_reach(known: Bits, before: Sequence[Bits], shortest: int) -> Callable[[Phrases], list[np.ndarray]]:
+    """Hashes of the phrases with both shorter parts in ``known`` but not in one of the sets before it; words have no parts."""
 
     def hashes(found: Phrases) -> list[np.ndarray]:
         out = []
-        for length in range(1, LONGEST + 1):
-            _, open_ = now.counts(found, length)
-            for earlier in before:
-                if open_.any():
-                    done, seen = earlier.counts(found, length)
-                    open_ &= ~(done | seen)
+        for length in range(shortest, LONGEST + 1):
+            open_ = found.there[length - 1]
+            for at, bits in enumerate((known, *before)):
+                if length > 1 and open_.any():
+                    part = bits.have(found.hashes[length - 2])
+                    both = part[: len(open_)] & part[1 : len(open_) + 1]
+                    open_ = open_ & (~both if at else both)
             out.append(found.hashes[length - 1][open_])
         return out
 
     return hashes
 
 
-def _hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Hashes of phrases that are the whole text of their row."""
-    _, lang, lang_hash = _languages(batch.column("lang"))
-    for lo, hi in slices(batch.column("phrase"), SLICE):
-        words = cut(batch.column("phrase").slice(lo, hi - lo), WORD)
-        own = mix(words.hashes() ^ lang_hash[lang[lo:hi][np.repeat(np.arange(hi - lo), words.counts)]])
-        out = np.zeros(hi - lo, np.uint64)
-        for length in range(1, LONGEST + 1):
-            rows = np.flatnonzero(words.counts == length)
-            if len(rows):
-                out[rows] = (own if length == 1 else grams(own, length))[words.first[rows]]
-        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], ["h"])
-
-
-def by_words(rows: DataFrame, named: Bits, totals: bool) -> DataFrame:
-    """lang, phrase, n of the phrases in ``named``; with ``totals`` an empty phrase stands for all words of a language."""
+def by_words(rows: DataFrame, named: Bits) -> DataFrame:
+    """lang, phrase, n of the phrases in ``named``; an empty phrase stands for all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, found in _parts(batches):
             name_column = pa.array(names, pa.string())
-            if totals:
-                total = np.bincount(found.lang, minlength=len(names))
-                yield pa.RecordBatch.from_arrays([name_column, pa.array([""] * len(names)), pa.array(total)], ["lang", "phrase", "n"])
+            total = np.bincount(found.lang, minlength=len(names))
+            yield pa.RecordBatch.from_arrays([name_column, pa.array([""] * len(names)), pa.array(total)], ["lang", "phrase", "n"])
             for length in range(1, LONGEST + 1):
                 h = found.hashes[length - 1]
                 at = np.flatnonzero(found.there[length - 1] & named.have(h))
@@ -273,21 +241,18 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, sample: int = SAMP
     drawn = F.pmod(F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns]), F.lit(sample)) == 0
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"), drawn.alias("drawn"))
     everything = lambda found: [h[t] for h, t in zip(found.hashes, found.there)]
-    bits = Bits(stored(heavy(rows.where("drawn"), everything, seen), "proposed"), "h", BITS)
-    passes, known = [Pass(bits, bits)], None
-    while True:
-        now, before = passes[-1], passes[:-1]
-        counts = by_words(rows, now.named, not before).where((F.col("n") >= support) | (F.col("phrase") == ""))
-        failures = heavy(rows, border(now, before), support)
-        counts, failures = stored(counts, "phrases"), stored(failures, "failures")
-        known = counts if known is None else known.union(counts)
+    proposed = stored(heavy(rows.where("drawn"), everything, seen), "proposed")
+    known, frequent = [Bits(proposed, "h", BITS)], None
+    for number in range(1, LONGEST + 1):
+        new = stored(heavy(rows, within_reach(known[-1], known[:-1], number), support), "heavy")
+        frequent = new if frequent is None else frequent.union(new)
+        failures = new.join(proposed, "h", "left_anti") if number == 1 else new
         if failures.isEmpty():
             break
-        hashes = arrow_map(known.where("phrase <> ''").select("lang", "phrase"), _hashed, "h long")
-        passes.append(Pass(Bits(failures, "h", BITS), Bits(hashes.union(failures), "h", BITS)))
+        known.append(Bits(frequent, "h", BITS))
     length = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ", -1)))
-    # a phrase that two passes let through has the same number in both
-    return stored(known.groupBy("lang", "phrase").agg(F.max("n").alias("n")).select("lang", "phrase", length.alias("length"), "n"), "frequent")
+    counts = by_words(rows, Bits(frequent, "h", BITS)).where((F.col("n") >= support) | (F.col("phrase") == ""))
+    return stored(counts.select("lang", "phrase", length.alias("length"), "n"), "frequent")
 
 
 def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, covered: int = COVERED, sample: int = SAMPLE, seen: int = SEEN) -> DataFrame:
@@ -315,8 +280,11 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, covere
     kept = best.join(longer, ["lang", "phrase"], "left").where(
         F.expr(f"longest is null or cast(longest as decimal(19, 0)) * 100 < cast(a as decimal(19, 0)) * {covered}"))
     total = known.where("length = 0").select("lang", "n")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    ranked = kept.withColumn("rank", rank).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    # the first of each of 64 shares, then the first of those
+    share = F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*order))
+    few = kept.withColumn("rank", share).where(F.col("rank") <= top)
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -86,8 +86,9 @@ def add_entity_name(df: DataFrame) -> DataFrame:
 def enrich(cleaned: DataFrame, places: DataFrame) -> DataFrame:
     """All derived columns of cleaned lines.
 
-    ``cleaned`` is read several times, so pass a stored table. The statistics are small tables written beforehand, so the lines themselves are only read
-    and projected: no shuffle of the lines unless the peer groups outgrow a broadcast.
+    ``cleaned`` is read several times, so pass a stored table or a filter over one. The statistics are small tables written
+    beforehand, so the lines themselves are only read and projected: no shuffle of the lines unless the peer groups
+    outgrow a broadcast.
     """
     edges, stats = together(
         cleaned.sparkSession, lambda: volume_edges(cleaned), lambda: peer_stats(cleaned))

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.numbers import round_stable
-from peerbench.operators.ranks import exact_quantiles
+from peerbench.operators.ranks import exact_quantiles, histogram, merge_histograms
 from peerbench.operators.sampling import fixed_sample
 from peerbench.operators.star import Star
 from peerbench.plans.queries import entity_count, mean_of, named_agg, rollup_ratio, side_by_side
-from peerbench.session import materialize
+from peerbench.session import materialize, together
 
 
 def peer_measures(star: Star) -> DataFrame:
@@ -41,15 +41,18 @@ def box_stats(star: Star, top: int = 10) -> DataFrame:
     Whiskers are the outermost values within 1.5 interquartile ranges of the box; what lies
     beyond is counted as fliers. Peers come in descending order of their median.
     """
-    rows = peer_measures(star)
-    widest = (
-        exact_quantiles(rows, ["peer_group"], "net", {"peer_median": 0.5}, extras=[F.stddev_samp("net").alias("sd")])
-        .filter("sd is not null").orderBy(F.desc("sd"), "peer_group").limit(top).drop("sd")
-    )
-    widest = materialize(widest, "widest")
-    kept = rows.join(widest, "peer_group", "left_semi")
-    boxes = materialize(exact_quantiles(
-        kept, ["peer_group", "is_outlier"], "net", {"q1": 0.25, "median": 0.5, "q3": 0.75}), "boxes")
+    rows = peer_measures(star).where("peer_group is not null")
+    spread = rows.groupBy("peer_group").agg(F.stddev_samp("net").alias("sd"))
+    widest = materialize(spread.filter("sd is not null").orderBy(F.desc("sd"), "peer_group").limit(top).select("peer_group"), "widest")
+    kept = rows.join(widest, "peer_group", "left_semi").where("is_outlier is not null")
+    every = rows.join(widest, "peer_group", "left_semi")
+    # one scan counts for both groupings
+    bins = materialize(histogram(every, ["peer_group", "is_outlier"], "net"), "bins")
+    medians, boxes = together(
+        rows.sparkSession,
+        lambda: materialize(exact_quantiles(every, ["peer_group"], "net", {"peer_median": 0.5}, counts=merge_histograms(bins, ["peer_group"])), "medians"),
+        lambda: materialize(exact_quantiles(
+            kept, ["peer_group", "is_outlier"], "net", {"q1": 0.25, "median": 0.5, "q3": 0.75}, counts=bins.where("is_outlier is not null")), "boxes"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = (F.col("net") >= F.col("q1") - reach) & (F.col("net") <= F.col("q3") + reach)
     whiskers = named_agg(
@@ -60,7 +63,7 @@ def box_stats(star: Star, top: int = 10) -> DataFrame:
     )
     figures = ("q1", "median", "q3", "low_whisker", "high_whisker", "peer_median")
     return (
-        boxes.join(whiskers, ["peer_group", "is_outlier"]).join(widest, "peer_group")
+        boxes.join(whiskers, ["peer_group", "is_outlier"]).join(medians, "peer_group")
         .orderBy(F.desc("peer_median"), "peer_group", "is_outlier")
         .select("peer_group", "is_outlier", "rows", "fliers", *[round_stable(c, 2).alias(c) for c in figures])
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peerbench.functions.labels import outlier_type
 from peerbench.functions.numbers import ratio, round_stable
-from peerbench.operators.ranks import exact_ntile
+from peerbench.operators.ranks import exact_ntile, histogram, ntile_cuts
 from peerbench.operators.star import Star
 from peerbench.session import materialize
 
@@ -128,18 +128,15 @@ def item_spread(star: Star, more_than: int = 10, limit: int = 20) -> DataFrame:
     ).filter(F.col("entities") > more_than).orderBy(F.desc("net_spread"), "item_desc").limit(limit)
 
 
-def _quartiles(pairs: DataFrame) -> DataFrame:
+def _quartiles(pairs: DataFrame, cuts: DataFrame | None = None) -> DataFrame:
     """Quartile of every row within its item.
 
     Equal amounts are ordered by a digest of entity and measured item: evenly spread, so that a
     long run of equal amounts is cut without sorting it in one task.
     """
-    rows = materialize(
-        pairs.withColumn("tie", F.md5(F.concat_ws("|", F.col("entity_id").cast("string"), "measure_code"))),
-        "item-measures",
-    )
+    rows = pairs.withColumn("tie", F.md5(F.concat_ws("|", F.col("entity_id").cast("string"), "measure_code")))
     return (
-        exact_ntile(rows, "item_code", "net", "tie", 4, "net_quartile")
+        exact_ntile(rows, "item_code", "net", "tie", 4, "net_quartile", cuts)
         .select("item_desc", "entity_name", "peer_group", "place", round_stable("net", 2).alias("net"),
                 "total_volume", "net_quartile", "tie")
         .orderBy("item_desc", "net", "tie").drop("tie")
@@ -147,10 +144,23 @@ def _quartiles(pairs: DataFrame) -> DataFrame:
 
 
 def item_quartiles(star: Star) -> DataFrame:
-    """Every item row with every measure of its entity (joined on the entity alone)."""
+    """Every item row with every measure of its entity (joined on the entity alone).
+
+    The cuts are found before the rows are multiplied out: an entity's amounts are counted by bin, the bins of all
+    entities with an item are added up as often as they have it, and only amounts in the bins of the cuts meet the
+    items. The pairs themselves are made once, on their way into the result, and are not stored.
+    """
     measures = star.measures.select("entity_id", F.col("item_code").alias("measure_code"), "net")
     items = star.items.select("entity_id", "item_code", "item_desc")
-    return _quartiles(items.join(measures, "entity_id").join(_who(star), "entity_id"))
+    known = star.entities.groupBy("entity_id").agg(F.count(F.lit(1)).alias("rows"))
+    times = items.groupBy("entity_id", "item_code").agg(F.count(F.lit(1)).alias("times")).join(known, "entity_id").select(
+        "entity_id", "item_code", (F.col("times") * F.col("rows")).alias("times"))
+    bins = histogram(measures, ["entity_id"], "net")
+    counts = times.join(bins, "entity_id").groupBy("item_code", "bin").agg(
+        F.sum(F.col("n") * F.col("times")).alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    weighted = times.join(measures.select("entity_id", "net"), "entity_id")
+    cuts = ntile_cuts(weighted, "item_code", "net", 4, counts, F.col("times"))
+    return _quartiles(items.join(measures, "entity_id").join(_who(star), "entity_id"), cuts)
 
 
 def item_quartiles_strict(star: Star) -> DataFrame:
@@ -158,7 +168,7 @@ def item_quartiles_strict(star: Star) -> DataFrame:
     measures = star.measures.select("entity_id", "item_code", "net")
     items = star.items.select("entity_id", "item_code", "item_desc")
     rows = items.join(measures, ["entity_id", "item_code"]).withColumn("measure_code", F.col("item_code"))
-    return _quartiles(rows.join(_who(star), "entity_id"))
+    return _quartiles(materialize(rows.join(_who(star), "entity_id"), "item-measures"))
 
 
 def _who(star: Star) -> DataFrame:

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import json
+import random
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 from math import factorial
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerbench.functions.labels import performance_tier
 from peerbench.functions.numbers import ratio, round_stable
 from peerbench.operators.ranks import exact_quantiles
 from peerbench.operators.star import Star
-from peerbench.session import materialize, together
+from peerbench.session import materialize
 
 FEATURES = ("net_per_unit", "total_volume", "item_diversity", "avg_z", "avg_gross_net_ratio")
 
@@ -66,35 +69,145 @@ def with_vector(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(scaled)
 
 
-def fit_kmeans(vectors: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int) -> list[KMeansModel]:
-    """One model per (k, seed), the runs submitted side by side.
+@dataclass
+class Fit:
+    """A K-Means model of ``k`` centres that began with the start ``seed``."""
 
-    A run ends when all centres together move by less than 0.01, on features of unit variance.
-    """
-    def job(k: int, seed: int):
-        return lambda: KMeans(k=k, seed=seed, maxIter=max_iter, tol=0.01 / k**0.5).fit(vectors)
+    k: int
+    seed: int
+    centres: list[list[float]]
+    cost: float = float("inf")
+    done: bool = False
+
+
+def _squared(point: Column, x: Sequence[Column]) -> Column:
+    """Squared distance of an array column to the features."""
+    return sum(((point[j] - c) * (point[j] - c) for j, c in enumerate(x)), F.lit(0.0))
+
+
+def _given(value: list, depth: int) -> Column:
+    """Nested lists of numbers as one constant, which takes the place of the last one in code that stays compiled."""
+    return F.from_json(F.lit(json.dumps(value)), "array<" * depth + "double" + ">" * depth)
 
-    return together(vectors.sparkSession, *[job(k, seed) for k, seed in runs])
 
+def _x() -> list[Column]:
+    return [F.col(c).cast("double") for c in FEATURES]
 
-def cheapest(models: Iterable[KMeansModel]) -> KMeansModel:
-    return min(models, key=lambda m: m.summary.trainingCost)
+
+def candidates(scaled: DataFrame, wanted: int, seed: int = 42, rounds: int = 2) -> list[tuple[list[float], int]]:
+    """Starting points for any number of models with up to ``wanted`` centres, and how many rows are nearest to each.
+
+    Begins with one row; each round adds rows with a chance in proportion to their squared distance from the points so
+    far, twice ``wanted`` on average. A row's luck is a digest of its values, so a rerun draws the same rows.
+    """
+    x = _x()
+    rows = scaled.select(F.array(*x).alias("x"), F.xxhash64("entity_id", *FEATURES).alias("h"))
+    first = rows.agg(F.min_by("x", F.struct(F.xxhash64("h", F.lit(seed)), "x"))).first()[0]
+    points = [] if first is None else [first]
+    for step in range(rounds if points else 0):
+        given = _given(points, 2)
+        near = rows.withColumn("d", F.array_min(F.transform(given, lambda p: _squared(p, [F.col("x")[j] for j in range(len(FEATURES))]))))
+        total = near.agg(F.sum("d")).first()[0]
+        if not total:
+            break
+        luck = F.pmod(F.xxhash64("h", F.lit(seed + step + 1)), F.lit(2**40)) / F.lit(float(2**40))
+        points += [r["x"] for r in near.where(luck < F.col("d") * F.lit(2.0 * wanted / total)).select("x").distinct().collect()]
+    points = sorted(points)
+    if not points:
+        return []
+    given = _given(points, 2)
+    nearest = F.array_min(F.transform(given, lambda p, i: F.struct(_squared(p, [F.col("x")[j] for j in range(len(FEATURES))]).alias("d"), i.alias("i"))))["i"]
+    number = {r["i"]: r["n"] for r in rows.groupBy(nearest.alias("i")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [(p, number.get(i, 0)) for i, p in enumerate(points)]
+
+
+def _start(points: list[tuple[list[float], int]], k: int, seed: int) -> list[list[float]]:
+    """k of the candidates, each drawn with a chance in proportion to its rows and its squared distance from those before."""
+    rng, chosen = random.Random(seed * 1_000_003 + k), []
+    for _ in range(min(k, len(points))):
+        weights = [n * min((sum((a - b) ** 2 for a, b in zip(p, c)) for c in chosen), default=1.0) for p, n in points]
+        if not sum(weights):
+            weights = [float(p not in chosen) for p, _ in points]
+        chosen.append(rng.choices([p for p, _ in points], weights)[0])
+    return chosen + chosen[-1:] * (k - len(chosen))
+
+
+def _moved(rows: DataFrame, models: Sequence[Fit]) -> DataFrame:
+    """model, centre, n, cost and the sum of every feature over the rows nearest to a centre, for all models in one scan.
+
+    A task holds one sum per (model, centre) and hands these on at its end. Distances of a batch of rows to a hundred
+    centres are one array operation; as expressions they take ten times as long.
+    """
+    centres = [np.array(m.centres) for m in models]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = [np.zeros((len(c), 2 + c.shape[1])) for c in centres]
+        for batch in batches:
+            x = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
+            for c, total in zip(centres, totals):
+                d = ((x[:, None, :] - c[None]) ** 2).sum(2)
+                at = d.argmin(1)
+                for j, weights in enumerate((None, d[np.arange(len(x)), at], *x.T)):
+                    total[:, j] += np.bincount(at, weights, len(c))
+        table = np.concatenate(totals)
+        model = np.repeat(np.arange(len(centres)), [len(c) for c in centres]).astype(np.int32)
+        centre = np.concatenate([np.arange(len(c)) for c in centres]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(model), pa.array(centre), *map(pa.array, np.ascontiguousarray(table.T))], names)
+
+    names = ["model", "centre", "n", "cost", *FEATURES]
+    parts = rows.mapInArrow(run, "model int, centre int, " + ", ".join(f"{c} double" for c in names[2:]))
+    return parts.groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in names[2:]]).where("n > 0")
+
+
+def fit_kmeans(scaled: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int) -> list[Fit]:
+    """A model per (k, seed). One scan moves the centres of all models that have not settled.
+
+    A model has settled when all its centres together move by less than 0.01, on features of unit variance.
+    """
+    points = candidates(scaled, max(k for k, _ in runs))
+    if not points:
+        raise ValueError("there are no rows to cluster")
+    fits = [Fit(k, seed, _start(points, k, seed)) for k, seed in runs]
+    rows = scaled.select(*[c.alias(f) for c, f in zip(_x(), FEATURES)])
+    for step in range(max_iter + 1):
+        active = [m for m in fits if not m.done]
+        if not active:
+            break
+        found: dict[int, list] = {}
+        for r in _moved(rows, active).collect():  # a row per model and centre
+            found.setdefault(r["model"], []).append(r)
+        for number, model in enumerate(active):
+            model.cost = sum(r["cost"] for r in found[number])
+            moved = [list(c) for c in model.centres]
+            for r in found[number]:
+                moved[r["centre"]] = [r[f] / r["n"] for f in FEATURES]
+            shift = sum((a - b) ** 2 for c, d in zip(moved, model.centres) for a, b in zip(c, d))
+            if shift < 1e-4 or step == max_iter:
+                model.done = True  # its cost belongs to the centres it has
+            else:
+                model.centres = moved
+    return fits
+
+
+def cheapest(fits: Iterable[Fit]) -> Fit:
+    return min(fits, key=lambda m: (m.cost, m.seed))
+
+
+def nearest_centre(centres: Sequence[Sequence[float]]) -> Column:
+    """The index of the nearest centre, the lowest on a tie."""
+    return F.array_min(F.array(*[
+        F.struct(sum(((c - F.lit(float(v))) * (c - F.lit(float(v))) for c, v in zip(_x(), point)), F.lit(0.0)).alias("distance"), F.lit(i).alias("id"))
+        for i, point in enumerate(centres)]))["id"]
 
 
 def k_search(scaled: DataFrame, ks: Iterable[int] = range(2, 9), inits: int = 3, max_iter: int = 50) -> DataFrame:
     """Inertia and silhouette for every k over all rows; the best silhouette, lowest k first, is chosen."""
-    vectors = with_vector(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        ks = list(ks)
-        fitted = fit_kmeans(vectors, [(k, seed) for k in ks for seed in range(42, 42 + inits)], max_iter)
-        best = {k: cheapest(fitted[i * inits:(i + 1) * inits]) for i, k in enumerate(ks)}
-        labelled = vectors
-        for k, model in best.items():
-            labelled = model.copy().setPredictionCol(f"k{k}").transform(labelled)
-        scores = {r["label"]: r["silhouette"] for r in silhouette(labelled, [f"k{k}" for k in ks]).collect()}  # a row per k
-    finally:
-        vectors.unpersist()
-    rows = [(k, float(m.summary.trainingCost), float(scores[f"k{k}"])) for k, m in best.items()]
+    ks = list(ks)
+    fitted = fit_kmeans(scaled, [(k, seed) for k in ks for seed in range(42, 42 + inits)], max_iter)
+    best = {k: cheapest(fitted[i * inits:(i + 1) * inits]) for i, k in enumerate(ks)}
+    labelled = scaled.withColumns({f"k{k}": nearest_centre(model.centres) for k, model in best.items()})
+    scores = {r["label"]: r["silhouette"] for r in silhouette(labelled, [f"k{k}" for k in ks]).collect()}  # a row per k
+    rows = [(k, float(m.cost), float(scores[f"k{k}"])) for k, m in best.items()]
     chosen = max(rows, key=lambda r: (r[2], -r[0]))[0]
     return scaled.sparkSession.createDataFrame(
         [(k, cost, score, int(k == chosen)) for k, cost, score in rows],
@@ -103,26 +216,13 @@ def k_search(scaled: DataFrame, ks: Iterable[int] = range(2, 9), inits: int = 3,
 
 def assign_kmeans(scaled: DataFrame, k: int, inits: int = 5, max_iter: int = 200) -> DataFrame:
     """The scaled features with the cluster of every entity, by the cheapest of several runs."""
-    vectors = with_vector(scaled).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = cheapest(fit_kmeans(vectors, [(k, seed) for seed in range(42, 42 + inits)], max_iter))
-        return materialize(
-            model.transform(vectors).withColumn("cluster_id", F.col("prediction").cast("int"))
-            .drop("features", "prediction"), "clusters")
-    finally:
-        vectors.unpersist()
+    model = cheapest(fit_kmeans(scaled, [(k, seed) for seed in range(42, 42 + inits)], max_iter))
+    return materialize(scaled.withColumn("cluster_id", nearest_centre(model.centres)), "clusters")
 
 
 def assign_nearest(scaled: DataFrame, centroids: Sequence[Sequence[float]]) -> DataFrame:
     """The scaled features with the nearest of the given centroids, the lowest id on a tie."""
-    distances = [
-        F.struct(
-            sum(((F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x))) for c, x in zip(FEATURES, point)),
-                F.lit(0.0)).alias("distance"),
-            F.lit(i).alias("id"))
-        for i, point in enumerate(centroids)
-    ]
-    return scaled.withColumn("cluster_id", F.array_min(F.array(*distances))["id"])
+    return scaled.withColumn("cluster_id", nearest_centre(centroids))
 
 
 def centroids(labelled: DataFrame) -> DataFrame:

@@ -51,9 +51,10 @@ class Workspace:
     def events(self) -> DataFrame:
         return event_lines(self.spark, self.sf_dir)
 
-    @cached_property
+    @property
     def cleaned(self) -> DataFrame:
-        return materialize(clean(self.lines), "cleaned")
+        """A filter over the stored lines, which every reader applies to the columns it needs."""
+        return clean(self.lines)
 
     @cached_property
     def scored(self) -> DataFrame:

@@ -85,6 +85,55 @@ def test_k_means_segments(spark, w):
     assert missing.isEmpty()
 
 
+def lloyd(x, centres, steps):
+    """Plain K-Means from given centres."""
+    for step in range(steps + 1):
+        d = ((x[:, None] - centres[None]) ** 2).sum(2)
+        at = d.argmin(1)
+        moved = np.array([x[at == i].mean(0) if (at == i).any() else c for i, c in enumerate(centres)])
+        if ((moved - centres) ** 2).sum() < 1e-4 or step == steps:
+            return centres, d.min(1).sum()
+        centres = moved
+
+
+def points(spark, x):
+    return spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "entity_id long, " + ", ".join(f"{f} double" for f in F5)).repartition(3)
+
+
+def test_shared_scans_equal_plain_k_means(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(c, 0.4, (90, 5)) for c in (-3, 0, 3)])
+    data = points(spark, x)
+    scans = []
+    moved = segments._moved
+    monkeypatch.setattr(segments, "_moved", lambda rows, models: scans.append(len(models)) or moved(rows, models))
+    runs = [(k, seed) for k in (1, 2, 3, 5) for seed in (1, 2)]
+    fits = segments.fit_kmeans(data, runs, 20)
+    starts = segments.candidates(data, 5)
+    assert [(m.k, m.seed) for m in fits] == runs and len(starts) >= 5
+    for m in fits:
+        centres, cost = lloyd(x, np.array(segments._start(starts, m.k, m.seed)), 20)
+        assert np.array(m.centres) == pytest.approx(centres, abs=1e-9) and m.cost == pytest.approx(cost)
+    assert len(scans) <= 21 and scans[0] == len(runs) and scans == sorted(scans, reverse=True)
+    assert segments.cheapest(m for m in fits if m.k == 3).cost < 1.1 * 5 * 0.16 * len(x)
+
+
+def test_starts_are_repeatable_and_cover_the_rows(spark):
+    x = np.random.default_rng(2).normal(size=(300, 5))
+    first, again = segments.candidates(points(spark, x), 4), segments.candidates(points(spark, x).repartition(5), 4)
+    assert first == again and sum(n for _, n in first) == 300
+    assert {tuple(p) for p, _ in first} <= {tuple(map(float, p)) for p in x}
+
+
+def test_equal_rows_and_no_rows(spark):
+    same = points(spark, np.ones((20, 5)))
+    search = segments.k_search(same, ks=(2, 3), inits=1).collect()
+    assert [r["inertia"] for r in search] == [0, 0] and [r["chosen"] for r in search] == [1, 0]
+    assert {r["cluster_id"] for r in segments.assign_kmeans(same, 3, inits=1).collect()} == {0}
+    with pytest.raises(ValueError, match="no rows"):
+        segments.k_search(same.limit(0))
+
+
 def test_projection(w):
     points = segments.projection(w.clustered).toPandas()
     x = w.clustered.select("entity_id", *F5).toPandas().set_index("entity_id").loc[points["entity_id"]].to_numpy()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import csv
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from peerbench.operators import clean, features, quality
 from peerbench.operators.star import read_star, star_tables, write_star
 from peerbench.plans import facts, queries
 from peerbench.roles import RAW_COLUMNS, Roles, star_schemas
-from peerbench.session import fresh_path, shared_dir
+from peerbench.session import fresh_path, setting, shared_dir
 from peerbench.sources import dims
 from peerbench.sources.csvs import read_raw_csv, read_result_csv, require_columns, write_csv, write_text
 from tests.synthetic import STATE_WEIGHTS, synthesize, synthesize_for
@@ -78,6 +80,33 @@ def test_bad_rows_are_errors(spark, tmp_path):
         require_columns(read_raw_csv(spark, str(file), multi_line=True), ["a", "z"])
 
 
+@pytest.mark.parametrize("encoding,ends", [("utf-8", "\n"), ("utf-8", "\r\n"), ("latin-1", "\n")])
+def test_quoted_line_breaks_over_many_splits(spark, tmp_path, encoding, ends):
+    """Fields with line breaks, quotes and separators, in splits that begin in the middle of them."""
+    def field(i, j):
+        return ["plain é", f"two\nlines {i}", 'a "quoted" word', "a, b", "", '"\n"', "x" * (i % 90), "\n\n", f"é\n{i}\n{j}"][(i * 7 + j * 3) % 9]
+
+    rows = [[str(i), *[field(i, j) for j in range(3)]] for i in range(400)]
+    for name, part in (("a", rows[:300]), ("b", rows[300:]), ("c", [])):
+        with open(tmp_path / f"{name}.csv", "w", encoding=encoding, newline="") as file:
+            csv.writer(file, lineterminator=ends).writerows([["id", "one", "two", "three"], *part])
+    path = str(tmp_path)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", 700), setting(spark, "spark.sql.files.openCostInBytes", 1):
+        got = read_raw_csv(spark, path, multi_line=True)
+        assert spark.read.text(path).rdd.getNumPartitions() > 20
+        found = sorted(map(tuple, got.collect()), key=lambda r: int(r[0]))
+    assert got.columns == ["id", "one", "two", "three"]
+    assert [r for r in found] == [tuple(x or None for x in row) for row in rows]
+    want = spark.read.options(header=True, escape='"', multiLine=True, encoding="ISO-8859-1" if encoding == "latin-1" else "UTF-8").csv(path)
+    assert found == sorted(map(tuple, want.collect()), key=lambda r: int(r[0]))
+
+
+def test_an_open_quote_is_an_error(spark, tmp_path):
+    (tmp_path / "open.csv").write_text('a,b\n1,"never closed\n2,x\n')
+    with pytest.raises(ValueError, match="left open"):
+        read_raw_csv(spark, str(tmp_path), multi_line=True)
+
+
 def test_quality_report_sees_numbers_that_are_not_finite(spark, scored):
     few = scored.limit(20).checkpoint()
     bad = few.unionByName(few.limit(1).withColumn("net_z", F.lit(float("inf")))).unionByName(

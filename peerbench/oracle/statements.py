@@ -227,3 +227,6 @@ QUERIES: dict[str, str] = {
 # a store loaded in batches equals one load
 QUERIES |= {f"refresh_{name}": QUERIES[f"{kind}_{name}"] for kind, name in (
     ("star", "entities"), ("star", "measures"), ("star", "segments"), ("feat", "peer_stats"))}
+
+# the stream with versions and the one that fires once give the rows of the plain ones when all is there at once
+QUERIES |= {"stream_score_versions": QUERIES["stream_score"], "stream_daily_once": QUERIES["stream_daily_alert"]}

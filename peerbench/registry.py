@@ -17,6 +17,7 @@ from peerbench.plans import queries as q
 from peerbench.session import fresh_path
 from peerbench.sources.csvs import read_raw_csv, write_csv
 from peerbench.sources.tables import damaged_text, read_table
+from peerbench.streaming import alerts as stream_alerts
 from peerbench.streaming import jobs
 from peerbench.workspace import Workspace, workspace
 
@@ -107,6 +108,20 @@ def _stream_weekly(w: Workspace) -> DataFrame:
     return _stamp(jobs.with_weekly_gate(jobs.run_updates(weekly, "starts", *_folders(w, "weekly"))))
 
 
+def _stream_versions(w: Workspace) -> DataFrame:
+    output, checkpoint = _folders(w, "versioned-scores")
+    stream_alerts.publish(w.events, f"{output}/statistics")
+    scores = stream_alerts.run_scores(_event_stream(w, w.spark), f"{output}/statistics", output, checkpoint)
+    return scores.select("event_id", "entity_id", "peer_group", "net_z", "is_outlier")
+
+
+def _stream_once(w: Workspace) -> DataFrame:
+    own = jobs.own_session(w.spark)
+    output, checkpoint = _folders(w, "daily-once")
+    stream_alerts.publish(w.events, f"{output}/statistics")
+    return _stamp(stream_alerts.run_daily(_event_stream(w, own), f"{output}/statistics", output, checkpoint)["windows"])
+
+
 def _union(w: Workspace) -> DataFrame:
     """Two batches put together again."""
     merged = w.star.merged.select("peer_group", "is_outlier")
@@ -270,6 +285,8 @@ QUERIES: dict[str, Query] = {
     "stream_score": _stream_score,
     "stream_daily_alert": _stream_daily,
     "stream_weekly_counts": _stream_weekly,
+    "stream_score_versions": _stream_versions,
+    "stream_daily_once": _stream_once,
     # narrative facts
     "insight_peer": lambda w: facts.peer_facts(w.star),
     "insight_geo": lambda w: facts.geo_facts(w.star),

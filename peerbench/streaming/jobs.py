@@ -68,7 +68,7 @@ def with_weekly_gate(weekly: DataFrame, more_than: int = 1000) -> DataFrame:
     return weekly.withColumn("status", F.when(F.col("row_count") > more_than, "OK").otherwise("FAIL"))
 
 
-def _drain(writer: DataStreamWriter) -> None:
+def drain(writer: DataStreamWriter) -> None:
     """Process everything that is there now, then stop; errors of the query are raised here."""
     writer.trigger(availableNow=True).start().awaitTermination()
 
@@ -78,7 +78,7 @@ def run_append(stream: DataFrame, output: str, checkpoint: str) -> DataFrame:
 
     ``checkpoint`` holds what was read: a later call with the same folders takes up from there.
     """
-    _drain(stream.writeStream.format("parquet").option("path", output)
+    drain(stream.writeStream.format("parquet").option("path", output)
            .option("checkpointLocation", checkpoint).outputMode("append"))
     return stream.sparkSession.read.schema(stream.schema).parquet(output)
 
@@ -117,7 +117,7 @@ def run_updates(stream: DataFrame, key: str, output: str, checkpoint: str) -> Da
     def store(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{output}/batch={batch}")
 
-    _drain(stream.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", checkpoint))
+    drain(stream.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", checkpoint))
     values = [c for c in stream.columns if c != key]
     return (
         spark.read.schema(schema).parquet(output)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import random
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from math import factorial
@@ -20,7 +18,7 @@ from peerbench.functions.labels import performance_tier
 from peerbench.functions.numbers import ratio, round_stable
 from peerbench.operators.ranks import exact_quantiles
 from peerbench.operators.star import Star
-from peerbench.session import materialize
+from peerbench.session import materialize, setting
 
 FEATURES = ("net_per_unit", "total_volume", "item_diversity", "avg_z", "avg_gross_net_ratio")
 
@@ -80,56 +78,90 @@ class Fit:
     done: bool = False
 
 
-def _squared(point: Column, x: Sequence[Column]) -> Column:
-    """Squared distance of an array column to the features."""
-    return sum(((point[j] - c) * (point[j] - c) for j, c in enumerate(x)), F.lit(0.0))
+def _x() -> list[Column]:
+    return [F.col(c).cast("double") for c in FEATURES]
 
 
-def _given(value: list, depth: int) -> Column:
-    """Nested lists of numbers as one constant, which takes the place of the last one in code that stays compiled."""
-    return F.from_json(F.lit(json.dumps(value)), "array<" * depth + "double" + ">" * depth)
+def _columns(batch: pa.RecordBatch) -> np.ndarray:
+    """The features of a batch, one row each."""
+    return np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in FEATURES])
 
 
-def _x() -> list[Column]:
-    return [F.col(c).cast("double") for c in FEATURES]
+def _nearest(x: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the nearest point, the first of equals, and the squared distance from it, some thousand rows at a time."""
+    at, d = np.zeros(len(x), np.int64), np.zeros(len(x))
+    for lo in range(0, len(x), 2048):
+        part = ((x[lo : lo + 2048, None, :] - points[None]) ** 2).sum(2)
+        at[lo : lo + 2048] = part.argmin(1)
+        d[lo : lo + 2048] = part.min(1)
+    return at, d
+
 
+#: Starting points drawn evenly, and again as many of the rows that these leave far away (on average).
+POINTS = 256
 
-def candidates(scaled: DataFrame, wanted: int, seed: int = 42, rounds: int = 2) -> list[tuple[list[float], int]]:
-    """Starting points for any number of models with up to ``wanted`` centres, and how many rows are nearest to each.
 
-    Begins with one row; each round adds rows with a chance in proportion to their squared distance from the points so
-    far, twice ``wanted`` on average. A row's luck is a digest of its values, so a rerun draws the same rows.
+def candidates(scaled: DataFrame, seed: int = 42, number: int = POINTS) -> tuple[np.ndarray, np.ndarray]:
+    """Points that models of any k can start from, and how many rows are nearest to each.
+
+    ``number`` rows evenly and then rows with a chance in proportion to their squared distance from those. A row's luck is
+    a digest of its id and values, so a rerun draws the same rows; what is drawn does not grow with the table.
     """
-    x = _x()
-    rows = scaled.select(F.array(*x).alias("x"), F.xxhash64("entity_id", *FEATURES).alias("h"))
-    first = rows.agg(F.min_by("x", F.struct(F.xxhash64("h", F.lit(seed)), "x"))).first()[0]
-    points = [] if first is None else [first]
-    for step in range(rounds if points else 0):
-        given = _given(points, 2)
-        near = rows.withColumn("d", F.array_min(F.transform(given, lambda p: _squared(p, [F.col("x")[j] for j in range(len(FEATURES))]))))
-        total = near.agg(F.sum("d")).first()[0]
-        if not total:
-            break
-        luck = F.pmod(F.xxhash64("h", F.lit(seed + step + 1)), F.lit(2**40)) / F.lit(float(2**40))
-        points += [r["x"] for r in near.where(luck < F.col("d") * F.lit(2.0 * wanted / total)).select("x").distinct().collect()]
-    points = sorted(points)
-    if not points:
-        return []
-    given = _given(points, 2)
-    nearest = F.array_min(F.transform(given, lambda p, i: F.struct(_squared(p, [F.col("x")[j] for j in range(len(FEATURES))]).alias("d"), i.alias("i"))))["i"]
-    number = {r["i"]: r["n"] for r in rows.groupBy(nearest.alias("i")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [(p, number.get(i, 0)) for i, p in enumerate(points)]
-
-
-def _start(points: list[tuple[list[float], int]], k: int, seed: int) -> list[list[float]]:
-    """k of the candidates, each drawn with a chance in proportion to its rows and its squared distance from those before."""
-    rng, chosen = random.Random(seed * 1_000_003 + k), []
+    luck = F.pmod(F.xxhash64("entity_id", *FEATURES, F.lit(seed)), F.lit(2**40)) / F.lit(float(2**40))
+    rows = scaled.select(*[c.alias(f) for c, f in zip(_x(), FEATURES)], luck.alias("luck"))
+    fields = ", ".join(f"{c} double" for c in FEATURES)
+    first = np.unique(np.array(rows.orderBy("luck", *FEATURES).limit(number).select(*FEATURES).collect()).reshape(-1, len(FEATURES)), axis=0)
+    if not len(first):
+        return first, np.zeros(0)
+
+    def far(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(float(_nearest(_columns(batch), first)[1].sum()) for batch in batches)
+        yield pa.RecordBatch.from_pydict({"total": [total]})
+
+    total = rows.mapInArrow(far, "total double").agg(F.sum("total")).first()[0]
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _columns(batch)
+            # the complement, since the smallest of these numbers chose the first points
+            taken = 1 - batch.column("luck").to_numpy() < _nearest(x, first)[1] * number / total
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in x[taken].T], list(FEATURES))
+
+    more = np.array(rows.mapInArrow(drawn, fields).collect()).reshape(-1, len(FEATURES)) if total else first[:0]
+    points = np.unique(np.concatenate([first, more]), axis=0)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(points), np.int64)
+        for batch in batches:
+            n += np.bincount(_nearest(_columns(batch), points)[0], minlength=len(points))
+        yield pa.RecordBatch.from_pydict({"i": np.flatnonzero(n), "n": n[n > 0]})
+
+    n = np.zeros(len(points))
+    for r in rows.mapInArrow(counted, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
+        n[r["i"]] = r["n"]
+    return points, n
+
+
+def _start(points: np.ndarray, n: np.ndarray, k: int, seed: int) -> list[list[float]]:
+    """k centres: points drawn with a chance in proportion to their rows and squared distance from those before, then
+    moved until they are the means of the points nearest to them."""
+    rng, chosen = np.random.default_rng([seed, k]), []
+    weights = n.copy()
     for _ in range(min(k, len(points))):
-        weights = [n * min((sum((a - b) ** 2 for a, b in zip(p, c)) for c in chosen), default=1.0) for p, n in points]
-        if not sum(weights):
-            weights = [float(p not in chosen) for p, _ in points]
-        chosen.append(rng.choices([p for p, _ in points], weights)[0])
-    return chosen + chosen[-1:] * (k - len(chosen))
+        if not weights.sum():
+            weights = np.array([float(not any((p == c).all() for c in chosen)) for p in points])
+        chosen.append(points[rng.choice(len(points), p=weights / weights.sum())])
+        weights = n * _nearest(points, np.array(chosen))[1]
+    centres = np.array(chosen + chosen[-1:] * (k - len(chosen)))
+    for _ in range(100):
+        at = _nearest(points, centres)[0]
+        size = np.bincount(at, n, k)
+        sums = np.stack([np.bincount(at, n * column, k) for column in points.T], 1)
+        moved = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+        if (moved == centres).all():
+            break
+        centres = moved
+    return centres.tolist()
 
 
 def _moved(rows: DataFrame, models: Sequence[Fit]) -> DataFrame:
@@ -143,11 +175,10 @@ def _moved(rows: DataFrame, models: Sequence[Fit]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = [np.zeros((len(c), 2 + c.shape[1])) for c in centres]
         for batch in batches:
-            x = np.column_stack([column.to_numpy(zero_copy_only=False) for column in batch.columns])
+            x = _columns(batch)
             for c, total in zip(centres, totals):
-                d = ((x[:, None, :] - c[None]) ** 2).sum(2)
-                at = d.argmin(1)
-                for j, weights in enumerate((None, d[np.arange(len(x)), at], *x.T)):
+                at, d = _nearest(x, c)
+                for j, weights in enumerate((None, d, *x.T)):
                     total[:, j] += np.bincount(at, weights, len(c))
         table = np.concatenate(totals)
         model = np.repeat(np.arange(len(centres)), [len(c) for c in centres]).astype(np.int32)
@@ -156,7 +187,8 @@ def _moved(rows: DataFrame, models: Sequence[Fit]) -> DataFrame:
 
     names = ["model", "centre", "n", "cost", *FEATURES]
     parts = rows.mapInArrow(run, "model int, centre int, " + ", ".join(f"{c} double" for c in names[2:]))
-    return parts.groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in names[2:]]).where("n > 0")
+    # the sums are few, so one task adds them up
+    return parts.repartition(1).groupBy("model", "centre").agg(*[F.sum(c).alias(c) for c in names[2:]]).where("n > 0")
 
 
 def fit_kmeans(scaled: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int) -> list[Fit]:
@@ -164,18 +196,20 @@ def fit_kmeans(scaled: DataFrame, runs: Sequence[tuple[int, int]], max_iter: int
 
     A model has settled when all its centres together move by less than 0.01, on features of unit variance.
     """
-    points = candidates(scaled, max(k for k, _ in runs))
-    if not points:
+    points, n = candidates(scaled)
+    if not len(points):
         raise ValueError("there are no rows to cluster")
-    fits = [Fit(k, seed, _start(points, k, seed)) for k, seed in runs]
+    fits = [Fit(k, seed, _start(points, n, k, seed)) for k, seed in runs]
     rows = scaled.select(*[c.alias(f) for c, f in zip(_x(), FEATURES)])
     for step in range(max_iter + 1):
         active = [m for m in fits if not m.done]
         if not active:
             break
         found: dict[int, list] = {}
-        for r in _moved(rows, active).collect():  # a row per model and centre
-            found.setdefault(r["model"], []).append(r)
+        # the plan of a scan is the same each time and needs no second look
+        with setting(scaled.sparkSession, "spark.sql.adaptive.enabled", "false"):
+            for r in _moved(rows, active).collect():  # a row per model and centre
+                found.setdefault(r["model"], []).append(r)
         for number, model in enumerate(active):
             model.cost = sum(r["cost"] for r in found[number])
             moved = [list(c) for c in model.centres]

@@ -109,20 +109,21 @@ def test_shared_scans_equal_plain_k_means(spark, monkeypatch):
     monkeypatch.setattr(segments, "_moved", lambda rows, models: scans.append(len(models)) or moved(rows, models))
     runs = [(k, seed) for k in (1, 2, 3, 5) for seed in (1, 2)]
     fits = segments.fit_kmeans(data, runs, 20)
-    starts = segments.candidates(data, 5)
-    assert [(m.k, m.seed) for m in fits] == runs and len(starts) >= 5
+    starts = segments.candidates(data)
+    assert [(m.k, m.seed) for m in fits] == runs and len(starts[0]) >= 5
     for m in fits:
-        centres, cost = lloyd(x, np.array(segments._start(starts, m.k, m.seed)), 20)
+        centres, cost = lloyd(x, np.array(segments._start(*starts, m.k, m.seed)), 20)
         assert np.array(m.centres) == pytest.approx(centres, abs=1e-9) and m.cost == pytest.approx(cost)
     assert len(scans) <= 21 and scans[0] == len(runs) and scans == sorted(scans, reverse=True)
     assert segments.cheapest(m for m in fits if m.k == 3).cost < 1.1 * 5 * 0.16 * len(x)
 
 
 def test_starts_are_repeatable_and_cover_the_rows(spark):
-    x = np.random.default_rng(2).normal(size=(300, 5))
-    first, again = segments.candidates(points(spark, x), 4), segments.candidates(points(spark, x).repartition(5), 4)
-    assert first == again and sum(n for _, n in first) == 300
-    assert {tuple(p) for p, _ in first} <= {tuple(map(float, p)) for p in x}
+    x = np.random.default_rng(2).normal(size=(900, 5))
+    first, n = segments.candidates(points(spark, x), number=40)
+    again = segments.candidates(points(spark, x).repartition(5), number=40)
+    assert (first == again[0]).all() and (n == again[1]).all() and n.sum() == 900
+    assert {tuple(p) for p in first} <= {tuple(map(float, p)) for p in x} and 60 < len(first) < 110
 
 
 def test_equal_rows_and_no_rows(spark):

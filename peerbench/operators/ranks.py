@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from peerbench.session import materialize, together
@@ -25,21 +25,24 @@ FEW = 10_000  # rows of one bin that are ordered in one place
 MISSED = "order statistic fell outside its bin"
 
 
-def bin_of(value: Column) -> Column:
-    """An integer that does not fall when the value rises; NaN comes last."""
-    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(1025.0)) * OCTAVE) + OFFSET
-    return (
-        F.when(F.isnan(value), 2 * OFFSET).when(value > 0, size).when(value < 0, -size)
-        .when(value == 0, F.lit(0).cast("long")).cast("int"))
+def bin_of(value: str) -> Column:
+    """An integer that does not fall when the double column rises; NaN comes last."""
+    size = f"floor(least(log2(abs({value})), 1025D) * {OCTAVE}) + {OFFSET}"
+    return F.expr(
+        f"cast(case when isnan({value}) then {2 * OFFSET} when {value} > 0 then {size} when {value} < 0 then -({size}) "
+        f"when {value} = 0 then 0 end as int)")
+
 
+def _values(rows: DataFrame, keys: Sequence[str], value: str, weight: str | None) -> DataFrame:
+    """keys, the value as ``_v`` and how often it counts as ``_c``."""
+    return rows.select(*keys, F.col(value).cast("double").alias("_v"), F.expr(f"cast({weight or 1} as long)").alias("_c"))
 
-def histogram(rows: DataFrame, keys: Sequence[str], value: str, weight: Column | None = None) -> DataFrame:
+
+def histogram(rows: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """keys, bin, n, low, high: number, least and greatest of the values per bin; nulls are a bin of no values."""
-    v = F.col(value).cast("double")
-    n = F.count("_v") if weight is None else F.sum(F.when(F.col("_v").isNotNull(), F.col("_w")).otherwise(0))
     return (
-        rows.select(*keys, v.alias("_v"), *([] if weight is None else [weight.alias("_w")])).withColumn("bin", bin_of(F.col("_v")))
-        .groupBy(*keys, "bin").agg(n.alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
+        _values(rows, keys, value, weight).withColumn("bin", bin_of("_v")).groupBy(*keys, "bin")
+        .agg(F.expr("sum(if(_v is null, 0L, _c)) as n"), F.expr("min(_v) as low"), F.expr("max(_v) as high")))
 
 
 def merge_histograms(histograms: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -56,94 +59,91 @@ def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "in
     return left.join(other, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _targets(counts: DataFrame, keys: Sequence[str], ranks: Sequence[Column]) -> DataFrame:
+def _targets(counts: DataFrame, keys: Sequence[str], ranks: Sequence[str]) -> DataFrame:
     """keys, _n, slots: for each rank (of ``_n`` rows, from 0) the bin that holds it and the rank within; null if none."""
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     placed = counts.select(
         *keys, "n", "low", "high", F.sum("n").over(group).alias("_n"),
         F.sum("n").over(group.orderBy(F.col("bin").asc_nulls_first())).alias("_upto"))
-    first = F.col("_upto") - F.col("n")
     slots = [
-        F.max(F.when((first <= rank) & (rank < F.col("_upto")), F.struct("low", "high", (rank - first).alias("left"), "n")))
+        f"max(case when _upto - n <= {rank} and {rank} < _upto then named_struct('low', low, 'high', high, 'left', cast({rank} as long) - _upto + n, 'n', n) end)"
         for rank in ranks]
-    return placed.groupBy(*keys).agg(F.max("_n").alias("_n"), F.array(*slots).alias("slots"))
+    return placed.groupBy(*keys).agg(F.expr("max(_n) as _n"), F.expr(f"array({', '.join(slots)}) as slots"))
 
 
-def _inside(slot: Column) -> Column:
-    return (slot["low"] < slot["high"]) & F.col("_v").between(slot["low"], slot["high"])
+def _met(values: DataFrame, keys: Sequence[str], bounds: DataFrame, name: str) -> DataFrame:
+    """The values with the bounds of their group."""
+    return _join(values, bounds, keys) if keys else values.withColumn(name, bounds.select(name).scalar())
 
 
 def _refined(values: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
     """The targets with every bin of more than ``FEW`` rows replaced by the part of it that holds the rank."""
     number = targets.select(*keys, "_n", F.posexplode("slots").alias("_slot", "_s"))
     large = number.where(f"_s.n > {FEW} and _s.low < _s.high")
-    wanted = large.groupBy(*keys).agg(F.collect_list(F.struct("_slot", "_s")).alias("_wanted"))  # one entry per rank at most
-    share = (F.col("_v") - F.col("_w._s.low")) / (F.col("_w._s.high") - F.col("_w._s.low"))
-    part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
-    met = _join(values, wanted, keys) if keys else values.withColumn("_wanted", wanted.select("_wanted").scalar())
+    wanted = large.groupBy(*keys).agg(F.expr("collect_list(struct(_slot, _s)) as _wanted"))  # one entry per rank at most
+    part = f"cast(least(floor((_v - _w._s.low) / (_w._s.high - _w._s.low) * {PARTS}), {PARTS - 1}) as int) as bin"
     counts = (
-        met.select(*keys, "_v", "_c", F.explode(F.filter("_wanted", lambda w: _inside(w["_s"]))).alias("_w"))
-        .select(*keys, F.col("_w._slot").alias("_slot"), F.col("_w._s.left").alias("_left"), part.alias("bin"), "_v", "_c")
-        .groupBy(*keys, "_slot", "_left", "bin").agg(F.sum("_c").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
-    found = _targets(counts, [*keys, "_slot", "_left"], [F.col("_left")])
-    finer = found.select(*keys, "_slot", F.get("slots", F.lit(0)).alias("_new"))
+        _met(values, keys, wanted, "_wanted")
+        .select(*keys, "_v", "_c", F.expr("explode(filter(_wanted, w -> _v between w._s.low and w._s.high)) as _w"))
+        .select(*keys, F.expr("_w._slot as _slot"), F.expr("_w._s.left as _left"), F.expr(part), "_v", "_c")
+        .groupBy(*keys, "_slot", "_left", "bin").agg(F.expr("sum(_c) as n"), F.expr("min(_v) as low"), F.expr("max(_v) as high")))
+    finer = _targets(counts, [*keys, "_slot", "_left"], ["_left"]).select(*keys, "_slot", F.expr("get(slots, 0) as _new"))
     every = _join(number, finer, [*keys, "_slot"], "left")
     return every.groupBy(*keys).agg(
-        F.max("_n").alias("_n"), F.array_sort(F.collect_list(F.struct("_slot", F.coalesce("_new", "_s").alias("_s")))).alias("_all")
-    ).select(*keys, "_n", F.transform("_all", lambda a: a["_s"]).alias("slots"))
+        F.expr("max(_n) as _n"), F.expr("array_sort(collect_list(struct(_slot, coalesce(_new, _s) as _s))) as _all")
+    ).select(*keys, "_n", F.expr("transform(_all, a -> a._s) as slots"))
+
+
+def _stored(targets: DataFrame) -> tuple[DataFrame, int | None]:
+    """The targets written, and the rows of the largest bin of more than one value, noted while they are written."""
+    seen = Observation()
+    largest = F.expr("max(array_max(transform(slots, s -> if(s.low < s.high, s.n, null)))) as size")
+    return materialize(targets.observe(seen, largest), "rank-bins"), seen.get["size"]
 
 
 def order_statistics(
-    rows: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, Column],
-    counts: DataFrame | None = None, weight: Column | None = None,
+    rows: DataFrame, keys: Sequence[str], value: str, ranks: Mapping[str, str],
+    counts: DataFrame | None = None, weight: str | None = None,
 ) -> DataFrame:
-    """Per group ``_n`` (its values that are not null) and per name a struct of the value at that rank.
+    """Per group ``_n`` (its values that are not null) and for each name in ``ranks`` three columns.
 
-    A rank is an expression of ``_n`` that counts from 0; one that no row has gives null. The struct holds ``value``,
-    ``skip`` (how many equal values come before the rank) and ``ties`` (how many there are). ``counts`` is a histogram that
-    is known already; ``weight`` says how often a row counts (a whole number).
+    A rank is SQL over ``_n`` and counts from 0; one that no row has gives nulls. The column of the name holds the value
+    at that rank, ``_skip`` behind it how many equal values come before the rank, ``_ties`` how many there are.
+    ``counts`` is a histogram that is known already; ``weight`` is SQL for how often a row counts.
     """
     keys = list(keys)
-    values = rows.select(*keys, F.col(value).cast("double").alias("_v"), (F.lit(1) if weight is None else weight).cast("long").alias("_c")).where("_v is not null")
+    values = _values(rows, keys, value, weight).where("_v is not null")
     counts = histogram(rows, keys, value, weight) if counts is None else counts
-    targets = materialize(_targets(counts, keys, list(ranks.values())), "rank-bins")
-    largest = F.max(F.array_max(F.transform("slots", lambda s: F.when(s["low"] < s["high"], s["n"]))))
-    while (size := targets.agg(largest).first()[0]) is not None and size > FEW:
-        targets = materialize(_refined(values, keys, targets), "rank-bins")
-
-    def slot(i: int) -> Column:
-        return F.get("slots", F.lit(i))
-
+    targets, size = _stored(_targets(counts, keys, list(ranks.values())))
+    while size is not None and size > FEW:
+        targets, size = _stored(_refined(values, keys, targets))
     if size is None:  # every bin has one value
-        picks = [F.when(slot(i).isNotNull(), F.struct(slot(i)["low"].alias("value"), slot(i)["left"].alias("skip"), slot(i)["n"].alias("ties"))) for i in range(len(ranks))]
-        return targets.select(*keys, "_n", *[p.alias(name) for p, name in zip(picks, ranks)])
+        return targets.select(*keys, "_n", *[
+            F.expr(f"get(slots, {i}).{field} as {name}{end}")
+            for i, name in enumerate(ranks) for field, end in (("low", ""), ("left", "_skip"), ("n", "_ties"))])
     # the rows of the last bins, FEW per rank at most, are ordered per group
-    bounds = targets.select(*keys, "slots")
-    met = _join(values, bounds, keys) if keys else values.withColumn("slots", bounds.select("slots").scalar())
-    few = met.where(F.exists("slots", _inside)).select(*keys, "slots", "_v", "_c")
-    few = few.union(targets.select(*keys, "slots", F.lit(None).cast("double"), F.col("_n")))
-    lists = [F.array_sort(F.collect_list(F.when(_inside(slot(i)), F.struct("_v", "_c")))).alias(f"_l{i}") for i in range(len(ranks))]
-    ordered = few.groupBy(*keys).agg(F.max(F.when(F.col("_v").isNull(), F.col("_c"))).alias("_n"), F.first("slots").alias("slots"), *lists)
-    return ordered.select(*keys, "_n", *[_picked(f"_l{i}", slot(i)).alias(name) for i, name in enumerate(ranks)])
-
-
-def _picked(ordered: str, slot: Column) -> Column:
-    """The value with the rank ``left`` among ordered (value, count) pairs."""
-    left = slot["left"]
-    start = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast("double").alias("value"))
-    reached = F.aggregate(ordered, start, lambda a, x: F.struct(
-        (a["upto"] + x["_c"]).alias("upto"),
-        F.when(a["value"].isNotNull(), a["value"]).when(left < a["upto"] + x["_c"], x["_v"]).alias("value")))["value"]
-    value = F.when(slot["low"] == slot["high"], slot["low"]).otherwise(F.coalesce(reached, F.raise_error(F.lit(MISSED)).cast("double")))
-
-    def total(keep) -> Column:
-        return F.aggregate(F.filter(ordered, keep), F.lit(0).cast("long"), lambda a, x: a + x["_c"])
-
-    one = slot["low"] == slot["high"]
-    return F.when(slot.isNotNull(), F.transform(F.array(value), lambda v: F.struct(
-        v.alias("value"),
-        F.when(one, left).otherwise(left - total(lambda x: x["_v"] < v)).alias("skip"),
-        F.when(one, slot["n"]).otherwise(total(lambda x: x["_v"] == v)).alias("ties")))[0])
+    inside = "{s}.low < {s}.high and _v between {s}.low and {s}.high"
+    few = _met(values, keys, targets.select(*keys, "slots"), "slots").where(f"exists(slots, s -> {inside.format(s='s')})").select(*keys, "slots", "_v", "_c")
+    few = few.union(targets.select(*keys, "slots", F.expr("cast(null as double)"), "_n"))
+    lists = [F.expr(f"array_sort(collect_list(case when {inside.format(s=f'get(slots, {i})')} then struct(_v, _c) end)) as _l{i}") for i in range(len(ranks))]
+    ordered = few.groupBy(*keys).agg(F.expr("max(if(_v is null, _c, null)) as _n"), F.expr("first(slots) as slots"), *lists)
+    found = ordered.select("*", *[F.expr(f"{_reached(i)} as {name}") for i, name in enumerate(ranks)])
+    out = []
+    for i, name in enumerate(ranks):
+        slot, total = f"get(slots, {i})", "aggregate(filter(_l{i}, x -> x._v {op} {name}), 0L, (a, x) -> a + x._c)"
+        out += [name, F.expr(f"if({slot}.low = {slot}.high, {slot}.left, {slot}.left - {total.format(i=i, op='<', name=name)}) as {name}_skip"),
+                F.expr(f"if({slot}.low = {slot}.high, {slot}.n, if({slot} is null, null, {total.format(i=i, op='=', name=name)})) as {name}_ties")]
+    return found.select(*keys, "_n", *out)
+
+
+def _reached(i: int) -> str:
+    """SQL for the value with the rank ``left`` among the ordered (value, count) pairs of a slot."""
+    slot = f"get(slots, {i})"
+    start = "named_struct('upto', 0L, 'value', cast(null as double))"
+    step = f"named_struct('upto', a.upto + x._c, 'value', coalesce(a.value, if({slot}.left < a.upto + x._c, x._v, null)))"
+    return (
+        f"case when {slot}.low < {slot}.high then coalesce(aggregate(_l{i}, {start}, (a, x) -> {step}).value, "
+        f"cast(raise_error('{MISSED}') as double)) else {slot}.low end")
 
 
 def exact_quantiles(
@@ -157,8 +157,8 @@ def exact_quantiles(
     keys = list(keys)
     for key in keys:
         rows = rows.filter(F.col(key).isNotNull())
-    position = {name: F.greatest(F.col("_n") - 1, F.lit(0)) * F.lit(float(p)) for name, p in fractions.items()}
-    ranks = {f"{side}_{name}": cut(place) for name, place in position.items() for side, cut in (("_lo", F.floor), ("_hi", F.ceil))}
+    position = {name: f"greatest(_n - 1, 0) * {float(p)!r}D" for name, p in fractions.items()}
+    ranks = {f"_{side}_{name}": f"{side}({place})" for name, place in position.items() for side in ("floor", "ceil")}
 
     def search() -> DataFrame:
         return order_statistics(rows, keys, value, ranks, counts)
@@ -168,8 +168,7 @@ def exact_quantiles(
 
     found, *rest = together(rows.sparkSession, search, *([other] if extras else []))
     quantiles = found.select(*keys, *[
-        (F.col(f"_lo_{name}.value") + (F.col(f"_hi_{name}.value") - F.col(f"_lo_{name}.value")) * (place - F.floor(place))).alias(name)
-        for name, place in position.items()])
+        F.expr(f"_floor_{name} + (_ceil_{name} - _floor_{name}) * ({place} - floor({place})) as {name}") for name, place in position.items()])
     if not rest:
         return quantiles
     if keys:
@@ -179,16 +178,13 @@ def exact_quantiles(
 
 
 def ntile_cuts(
-    rows: DataFrame, group: str, value: str, tiles: int, counts: DataFrame | None = None, weight: Column | None = None,
+    rows: DataFrame, group: str, value: str, tiles: int, counts: DataFrame | None = None, weight: str | None = None,
 ) -> DataFrame:
     """group, _slot, _cut, _skip, _ties: the last row of every tile but the greatest, as value and place among its equals."""
-    ranks = {}
-    for j in range(1, tiles):
-        ranks[f"_c{j - 1}"] = j * F.floor(F.col("_n") / tiles) + F.least(F.lit(j), F.col("_n") % tiles) - 1
+    ranks = {f"_c{j - 1}": f"{j} * floor(_n / {tiles}) + least({j}, _n % {tiles}) - 1" for j in range(1, tiles)}
     found = order_statistics(rows, [group], value, ranks, counts, weight)
-    cuts = F.explode(F.array(*[F.struct(F.lit(j).alias("slot"), F.col(f"_c{j}").alias("c")) for j in range(tiles - 1)]))
-    return found.select(group, cuts.alias("_x")).where("_x.c is not null").select(
-        group, F.col("_x.slot").alias("_slot"), F.col("_x.c.value").alias("_cut"), F.col("_x.c.skip").alias("_skip"), F.col("_x.c.ties").alias("_ties"))
+    cuts = ", ".join(f"struct({j} as _slot, _c{j} as _cut, _c{j}_skip as _skip, _c{j}_ties as _ties)" for j in range(tiles - 1))
+    return found.select(group, F.expr(f"inline(array({cuts}))")).where("_cut is not null")
 
 
 def exact_ntile(

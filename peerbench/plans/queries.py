@@ -159,7 +159,7 @@ def item_quartiles(star: Star) -> DataFrame:
     counts = times.join(bins, "entity_id").groupBy("item_code", "bin").agg(
         F.sum(F.col("n") * F.col("times")).alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     weighted = times.join(measures.select("entity_id", "net"), "entity_id")
-    cuts = ntile_cuts(weighted, "item_code", "net", 4, counts, F.col("times"))
+    cuts = ntile_cuts(weighted, "item_code", "net", 4, counts, "times")
     return _quartiles(items.join(measures, "entity_id").join(_who(star), "entity_id"), cuts)
 
 

@@ -9,7 +9,7 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(SQL) <= set(QUERIES)
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(SQL) <= set(QUERIES)
     import __spark_entry__
 
     assert {*QUERIES, "pipeline"} <= set(__spark_entry__.queries())

@@ -230,3 +230,8 @@ QUERIES |= {f"refresh_{name}": QUERIES[f"{kind}_{name}"] for kind, name in (
 
 # the stream with versions and the one that fires once give the rows of the plain ones when all is there at once
 QUERIES |= {"stream_score_versions": QUERIES["stream_score"], "stream_daily_once": QUERIES["stream_daily_alert"]}
+
+# the star by entity holds the same rows; an update of its buckets gives the same segments
+QUERIES |= {
+    "keyed_alert_profiles": f"SELECT * FROM ({QUERIES['api_entity_profile']}) WHERE entity_id IN (SELECT entity_id FROM (SELECT * FROM merged WHERE is_outlier = 1 {EXTREME_ORDER} LIMIT 10))",
+    "keyed_entity_lookup": QUERIES["entity_lookup"], "keyed_segments": QUERIES["seg_update_fixed"]}

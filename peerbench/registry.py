@@ -65,14 +65,19 @@ def _arg_extreme(w: Workspace) -> DataFrame:
         F.max_by("entity_id", F.struct(F.abs("net_z"), "net")).alias("most_extreme_entity"))
 
 
-def _profiles(w: Workspace) -> DataFrame:
+def _with_items_text(found: DataFrame) -> DataFrame:
     """Profiles with the item list as one text, so that the tables can be compared by value."""
-    found = profiles.entity_profile(w.labelled_star)
     listed = F.array_join(F.transform("items", lambda i: F.concat(
         i["item_code"], F.lit("="), i["services"].cast("bigint").cast("string"), F.lit("x"), i["times"].cast("string"))), ";")
     return found.withColumn("items_text", listed).drop("items")
 
 
+def _alerted_profiles(w: Workspace) -> DataFrame:
+    """Profiles of the entities of the ten most extreme outlier rows, looked up in the star by entity."""
+    ids = [r["entity_id"] for r in q.most_extreme(q.outlier_rows(w.star), 10).select("entity_id").distinct().collect()]
+    return _with_items_text(profiles.entity_profile(w.keyed.of(*ids)))
+
+
 def _event_stream(w: Workspace, spark: SparkSession) -> DataFrame:
     """The events of the folder, whether they are one file or a folder of files."""
     return jobs.event_stream(spark, f"{w.sf_dir.rstrip('/')}/{{events.parquet}}")
@@ -262,7 +267,7 @@ QUERIES: dict[str, Query] = {
     "ml_importance": lambda w: segments.importance(w.clustered),
     # lookups and dashboards
     "api_health": lambda w: profiles.health(w.star),
-    "api_entity_profile": _profiles,
+    "api_entity_profile": lambda w: _with_items_text(profiles.entity_profile(w.labelled_star)),
     "api_peer_profile": lambda w: profiles.peer_profile(w.star),
     "api_outliers": lambda w: profiles.outlier_list(w.labelled_star),
     "dash_kpis": lambda w: dashboards.kpis(w.star),
@@ -281,6 +286,10 @@ QUERIES: dict[str, Query] = {
     "alert_top10": lambda w: alerts.alert_rows(w.star),
     "refresh_gate": lambda w: alerts.refresh_gate(w.star),
     "entity_lookup": lambda w: profiles.entity_lookup(w.labelled_star),
+    # the star by entity: lookups that read single buckets, updates that write single buckets
+    "keyed_alert_profiles": _alerted_profiles,
+    "keyed_entity_lookup": lambda w: profiles.entity_lookup(w.keyed.star()),
+    "keyed_segments": lambda w: _rounded(w.keyed.star().segments, ["avg_z"], 4),
     # streams
     "stream_score": _stream_score,
     "stream_daily_alert": _stream_daily,

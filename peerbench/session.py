@@ -81,8 +81,24 @@ def _own_dir(spark: SparkSession) -> str:
 
 def remove_stored(spark: SparkSession) -> None:
     """Delete the stored tables of this application; call it when its results have been written."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_path(spark, _own_dir(spark))
+
+
+def _located(spark: SparkSession, path: str):
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name, on whatever file system it names."""
+    system, found = _located(spark, path)
+    return system.exists(found)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds, if there is one."""
+    system, found = _located(spark, path)
+    system.delete(found, True)
 
 
 def together(spark: SparkSession, *jobs: Callable[[], T]) -> list[T]:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.star import Star, read_star, star_tables, write_star
-from peerbench.plans import refresh, segments
+from peerbench.plans import keyed, refresh, segments
 from peerbench.session import fresh_path, materialize
 from peerbench.sources.tables import event_lines, place_regions, service_lines
 from peerbench.streaming.jobs import publish_stats
@@ -109,6 +109,13 @@ class Workspace:
         """The star whose segments carry the K-Means clusters."""
         return segments.with_segments(self.star, segments.label_entities(self.features, self.clustered))
 
+    @cached_property
+    def keyed(self) -> keyed.KeyedStar:
+        """The star by entity, published without clusters and then updated with the fixed-centroid ones."""
+        store = keyed.publish(self.star, fresh_path(self.spark, "keyed"))
+        store.update_segments(self.labelled_star.segments.select("entity_id", "cluster_id", "cluster_name", "performance_tier"))
+        return store
+
     @cached_property
     def event_stats(self) -> DataFrame:
         return publish_stats(self.events)

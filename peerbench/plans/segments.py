@@ -388,7 +388,8 @@ def importance(labelled: DataFrame, seed: int = 42) -> DataFrame:
     Shapley coefficient of the coalition.
     """
     trained = with_vector(labelled).withColumn("label", F.col("cluster_id").cast("double"))
-    forest = RandomForestClassifier(numTrees=30, maxDepth=6, seed=seed).fit(trained)
+    # the copy lacks the training summary, which for two classes holds the session and can't be sent to tasks
+    forest = RandomForestClassifier(numTrees=30, maxDepth=6, seed=seed).fit(trained).copy()
     n = len(FEATURES)
 
     mean = materialize(labelled.agg(F.array(*[F.avg(f) for f in FEATURES]).alias("mean")), "mean").select("mean").scalar()

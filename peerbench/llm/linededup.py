@@ -12,6 +12,10 @@ before it is divisible by ``divisor``: the boundary depends on nearby content on
 within its document, or to another one, is cut at the same places again. Chunks of two or more lines that are
 not blank are compared over the whole corpus; of equal ones the first by (doc_id, text key, place) stays.
 
+:func:`dedup_grown`, which the pipeline uses, removes the repeated chunks and then, line by line, what of a repeated
+passage their boundaries leave: the pairs of successive lines that repeat. Both are found in the whole texts, and of every
+line the first occurrence stays.
+
 Everything is DataFrame functions. Hashes only select candidates: chunk text travels for hashes that occur
 more than once, and a chunk is removed only after its bytes are found equal. A chunk that a third of all
 documents share is pre-aggregated before each shuffle and its occurrences meet it in a join that adaptive
@@ -52,13 +56,13 @@ def _line_hash(line: Column) -> Column:
 
 
 def chunks(text: Column, divisor: int = DIVISOR) -> Column:
-    """Array of (chunk, n_lines, n_solid) in order; ``n_solid`` counts the lines that are not blank."""
+    """Array of (chunk, lo, n_lines, n_solid) in order; ``lo`` is the index of its first line, ``n_solid`` counts the lines that are not blank."""
 
     def pieces(lines: Column, starts: Column) -> Column:
         def piece(start: Column, k: Column) -> Column:
             own = F.slice(lines, start, F.coalesce(F.get(starts, k + 1), F.size(lines) + 1) - start)
             return let(own, lambda x: F.struct(
-                F.array_join(x, "\n").alias("chunk"), F.size(x).alias("n_lines"),
+                F.array_join(x, "\n").alias("chunk"), (start - 1).alias("lo"), F.size(x).alias("n_lines"),
                 F.size(F.filter(x, lambda line: F.trim(line) != "")).alias("n_solid"),
             ))
 
@@ -75,9 +79,10 @@ def chunks(text: Column, divisor: int = DIVISOR) -> Column:
 
 
 def _occurrences(docs: DataFrame, divisor: int) -> DataFrame:
-    """(doc_id, tk, place, chunk, h) of every chunk with at least two lines that are not blank."""
+    """(doc_id, tk, place, lo, hi, chunk, h) of every chunk with at least two lines that are not blank."""
     cut = docs.where("text is not null").select("doc_id", text_key().alias("tk"), F.posexplode(chunks(F.col("text"), divisor)).alias("place", "c"))
-    return cut.where("c.n_solid >= 2").select("doc_id", "tk", "place", F.col("c.chunk").alias("chunk"), F.xxhash64("c.chunk").alias("h"))
+    return cut.where("c.n_solid >= 2").select(
+        "doc_id", "tk", "place", "c.lo", F.expr("c.lo + c.n_lines - 1 as hi"), F.col("c.chunk").alias("chunk"), F.xxhash64("c.chunk").alias("h"))
 
 
 def _slot(hashed: str, bits: int) -> tuple[Column, Column]:
@@ -97,12 +102,16 @@ def _repeated(seen: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
     return maybe, stored(first.where("n > 1").select("h", F.col("chunk").alias("same"), "first"), "chunks")
 
 
+def _gone_chunks(docs: DataFrame, divisor: int) -> DataFrame:
+    """(doc_id, tk, place, lo, hi) of every chunk whose bytes stand at an earlier place."""
+    maybe, first = _repeated(_occurrences(docs, divisor), _FILTER_BITS)
+    gone = maybe.join(first, "h").where((F.col("chunk") == F.col("same")) & ~F.struct("doc_id", "tk", "place").eqNullSafe(F.col("first")))
+    return gone.select("doc_id", "tk", "place", "lo", "hi")
+
+
 def repeated_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """(doc_id, tk, removed): the places of the chunks to remove, per document that has any."""
-    seen = _occurrences(docs, divisor)
-    maybe, first = _repeated(seen, _FILTER_BITS)
-    gone = maybe.join(first, "h").where((F.col("chunk") == F.col("same")) & ~F.struct("doc_id", "tk", "place").eqNullSafe(F.col("first")))
-    return gone.groupBy("doc_id", "tk").agg(F.collect_set("place").alias("removed"))
+    return _gone_chunks(docs, divisor).groupBy("doc_id", "tk").agg(F.collect_set("place").alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, keep: Sequence[str] = ("doc_id",), divisor: int = DIVISOR) -> DataFrame:
@@ -141,20 +150,43 @@ def pairs(text: Column) -> Column:
     return let(F.split(text, "\n", -1), lambda lines: let(solid(lines), lambda s: between(lines, s)))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, tk, removed): the indexes of the lines to remove, per document that has any."""
+def _gone_pairs(docs: DataFrame) -> DataFrame:
+    """(doc_id, tk, lo, hi) of every pair of lines whose bytes stand at an earlier place that it does not overlap."""
     cut = docs.where("text is not null").select("doc_id", text_key().alias("tk"), F.posexplode(pairs(F.col("text"))).alias("place", "c"))
     seen = cut.select("doc_id", "tk", "place", "c.lo", "c.hi", "c.chunk", F.xxhash64("c.chunk").alias("h"))
     maybe, first = _repeated(seen, _PAIR_FILTER_BITS)
     here = F.struct("doc_id", "tk").eqNullSafe(F.struct("first.doc_id", "first.tk"))
     # a pair that overlaps its first occurrence, as in three equal lines, is no second passage
     gone = maybe.join(first, "h").where((F.col("chunk") == F.col("same")) & ~(here & (F.col("place") < F.col("first.place") + 2)))
-    return gone.groupBy("doc_id", "tk").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("lo", "hi")))).alias("removed"))
+    return gone.select("doc_id", "tk", "lo", "hi")
+
+
+def _lines(ranges: DataFrame) -> DataFrame:
+    """(doc_id, tk, removed): the indexes of the lines in the ranges, per document that has any."""
+    return ranges.groupBy("doc_id", "tk").agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("lo", "hi")))).alias("removed"))
+
+
+def repeated_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, tk, removed): the indexes of the lines to remove, per document that has any."""
+    return _lines(_gone_pairs(docs))
+
+
+def grown_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """(doc_id, tk, removed): the lines of repeated chunks and of the repeated pairs around and between them."""
+    return _lines(_gone_chunks(docs, divisor).select("doc_id", "tk", "lo", "hi").union(_gone_pairs(docs)))
 
 
 def dedup_passages(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Per document row: ``doc`` (the columns named in ``keep``), text (what is left), n_lines, n_removed."""
-    gone = repeated_lines(docs)
+    return _without(docs, repeated_lines(docs), keep)
+
+
+def dedup_grown(docs: DataFrame, keep: Sequence[str] = ("doc_id",), divisor: int = DIVISOR) -> DataFrame:
+    """The columns of :func:`dedup_passages`, without the lines of :func:`grown_lines`."""
+    return _without(docs, grown_lines(docs, divisor), keep)
+
+
+def _without(docs: DataFrame, gone: DataFrame, keep: Sequence[str]) -> DataFrame:
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("doc"), F.col("doc_id").alias("id"), F.col("text").alias("whole"), text_key().alias("key"))
     joined = whole.join(gone, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("tk")), "left")
     left = let(F.split("whole", "\n", -1), lambda lines: F.array_join(F.transform(

@@ -108,3 +108,37 @@ def test_the_stage_removes_every_short_passage(spark):
         assert left[2 * k] == dict(rows)[2 * k]
         before = dict(rows)[2 * k + 1].split("\n")
         assert left[2 * k + 1].split("\n") == [before[0], before[-1]]
+
+
+def brute_grown(rows):
+    """What stays of each row without the chunks and the pairs of lines that stand earlier."""
+    multi = lambda c: sum(bool(x.strip(" ")) for x in c) >= 2
+    chunk_at, pair_at, own = {}, {}, {}
+    for doc_id, text in sorted({r for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines, gone, lo = text.split("\n"), set(), 0
+        for place, c in enumerate(cut(text)):
+            if multi(c) and chunk_at.setdefault("\n".join(c), (doc_id, place)) != (doc_id, place):
+                gone.update(range(lo, lo + len(c)))
+            lo += len(c)
+        solid = [i for i, x in enumerate(lines) if x.strip(" \t\n\v\f\r")]
+        for place, (lo, hi) in enumerate(zip(solid, solid[1:])):
+            at = pair_at.setdefault("\n".join(lines[lo : hi + 1]), (doc_id, place))
+            if at[0] != doc_id or place >= at[1] + 2:
+                gone.update(range(lo, hi + 1))
+        own[doc_id, text] = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+    return sorted(((d, None if t is None else own[d, t]) for d, t in rows), key=repr)
+
+
+def test_the_stage_removes_chunks_and_grows_them(spark):
+    rng = random.Random(4)
+    lines = [f"line {i} é" for i in range(12)] + ["", "", "  ", "\t"]
+    block = [x for i in range(12) for x in (f"shared {i}", "", "\t")]
+    rows = [(i, "\n".join(rng.choices(lines, k=rng.randint(0, 8)) + (block if i % 3 == 0 else []) + rng.choices(lines, k=3))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "\n\n\n"), rows[3], (None, rows[5][1]), (103, "\n".join(f"x{i % 70}" for i in range(500)))]
+    after = drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    want = brute_grown(rows)
+    assert sorted((tuple(r) for r in after.collect()), key=repr) == want
+    # blank lines around a repeated passage go with its chunk
+    assert want != brute_passages(rows)
+    kept = {x for _, t in want for x in (t or "").split("\n")}
+    assert {x for _, t in rows for x in (t or "").split("\n") if x.strip()} <= kept

@@ -37,12 +37,15 @@ from pyspark.sql import functions as F
 
 from peerbench.llm.frames import Bits, arrow_map, components, stored, table, text_key
 from peerbench.llm.tokens import SOLID, cut, grams, mix, slices
+from peerbench.session import setting
 
 SHINGLE = 4
 PERCENT = 85
 _SKETCH_BITS = 1_024
 #: Bits of the fixed-size filter of part values that occur twice.
 _FILTER_BITS = 26
+#: Texts that a task and its Python worker hold at once.
+_BATCH_ROWS = 1_000
 
 
 @dataclass(frozen=True)
@@ -138,7 +141,7 @@ def _parts(docs: DataFrame, like: Likeness, seen: Bits | None = None) -> DataFra
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         text, ids = batch.column("text"), batch.column("doc_id").to_numpy()
-        for lo, hi in slices(text, 1 << 21):
+        for lo, hi in slices(text, 1 << 19):
             parts = [part_values(tokens, like.percent) for tokens in shingle_sets(text.slice(lo, hi - lo), like.words)]
             owner = np.repeat(ids[lo:hi], [len(p) for p in parts])
             value = np.concatenate(parts)
@@ -226,6 +229,11 @@ def distinct_sets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def similar_groups(docs: DataFrame, like: Likeness = Likeness()) -> tuple[DataFrame, DataFrame]:
     """The stored rows of :func:`sets_of`, and (node, component) of the documents that have links."""
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS):
+        return _groups(docs, like)
+
+
+def _groups(docs: DataFrame, like: Likeness) -> tuple[DataFrame, DataFrame]:
     rows = stored(sets_of(docs, like), "sets")
     one = rows.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").agg(F.min(F.struct("tk", "n_shingles", "f1", "f2", "sketch", "wide")).alias("s"))
     sketch = [f"s{i}" for i in range(_SKETCH_BITS // 64)]

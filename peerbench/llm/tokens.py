@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text that is held as per-byte arrays at once; a longer document is one slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -64,7 +64,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash per word."""
-        size = 1 << max(20, int(len(self.data)).bit_length())
+        size = 1 << max(19, int(len(self.data)).bit_length())
         up, down = _powers(size)
         sums = np.zeros(len(self.data) + 1, U)
         np.cumsum((self.data.astype(U) + U(1)) * up[: len(self.data)], out=sums[1:])

@@ -117,3 +117,13 @@ def test_copies_of_two_texts_are_joined_as_two_rows(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "stored", watched)
     assert found(spark, docs, Likeness()) == brute(docs, Likeness())
     assert most and max(most) == 2
+
+
+def test_few_texts_at_once(spark, monkeypatch):
+    key, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], ngram_join.stored
+    before = spark.conf.get(key)
+    monkeypatch.setattr(ngram_join, "stored", lambda df, label: seen.append(int(spark.conf.get(key))) or plain(df, label))
+    docs = spark.createDataFrame([(i, f"some words of text {i % 7}") for i in range(30)], "doc_id long, text string")
+    rows = jaccard_components(docs).collect()
+    assert {r["component_id"] for r in rows} == set(range(7)) and seen and max(seen) <= 1_000
+    assert spark.conf.get(key) == before

@@ -70,6 +70,26 @@ def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+#: Rows that the session's partitions may hold before there are more of them, and what is put together again at most.
+TASK_ROWS = 500_000
+TASK_BYTES = "8m"
+
+
+@contextmanager
+def sized(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Shuffles of a block in so many partitions that the memory of a task does not grow with the rows.
+
+    Sorts and hash tables take many times the bytes of a shuffle, so the usual 64 MB are too much for one task.
+    """
+    if rows <= TASK_ROWS:
+        yield
+        return
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS))
+    with setting(spark, "spark.sql.shuffle.partitions", partitions), \
+            setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES):
+        yield
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """An unused path in the shared folder, below a subfolder of this application."""
     return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"

@@ -12,8 +12,8 @@ from peerbench.operators.clean import clean
 from peerbench.operators.features import enrich
 from peerbench.operators.star import Star, read_star, star_tables, write_star
 from peerbench.plans import keyed, refresh, segments
-from peerbench.session import fresh_path, materialize
-from peerbench.sources.tables import event_lines, place_regions, service_lines
+from peerbench.session import fresh_path, materialize, sized
+from peerbench.sources.tables import event_lines, place_regions, read_table, service_lines
 from peerbench.streaming.jobs import publish_stats
 
 # Centroids in scaled feature space for labels that do not depend on a training run.
@@ -36,7 +36,9 @@ class Workspace:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return materialize(service_lines(self.spark, self.sf_dir), "lines")
+        # the footers tell the number of rows
+        with sized(self.spark, read_table(self.spark, self.sf_dir, "lineitem").count()):
+            return materialize(service_lines(self.spark, self.sf_dir), "lines")
 
     @property
     def places(self) -> DataFrame:

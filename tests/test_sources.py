@@ -6,6 +6,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from __spark_entry__ import SMOKE_DIR
+from peerbench import session
+from peerbench import workspace as workspace_module
 from peerbench.operators import clean, features, quality
 from peerbench.operators.star import read_star, star_tables, write_star
 from peerbench.plans import facts, queries
@@ -209,3 +212,14 @@ def test_quality_findings(spark, scored):
     assert {r["table_name"]: r["orphan_rows"] for r in quality.orphans(less).collect()} == {
         "items": 1, "measures": 1, "segments": 1}
     assert quality.repeated_ids(star.entities.unionByName(gone)).first()["repeated_ids"] == 1
+
+
+def test_lines_are_built_in_parts_of_a_bounded_size(spark, monkeypatch):
+    keys, rows = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"), []
+    before = [spark.conf.get(k) for k in keys]
+    with session.sized(spark, 60 * session.TASK_ROWS):
+        assert [spark.conf.get(k) for k in keys] == ["60", session.TASK_BYTES]
+    assert [spark.conf.get(k) for k in keys] == before
+    monkeypatch.setattr(workspace_module, "sized", lambda s, n: rows.append(n) or session.sized(s, n))
+    workspace_module.Workspace(spark, SMOKE_DIR).lines
+    assert rows == [spark.read.parquet(f"{SMOKE_DIR}/lineitem.parquet").count()]
